@@ -56,11 +56,9 @@ def right_closed_band(
     ``include_lowest`` also puts ``edges[0]`` itself in the first band.
     """
     v = as_col(value)
-    floor_ok = v >= edges[0] if include_lowest else v > edges[0]
-    band = None
+    band = F.when(v < edges[0] if include_lowest else v <= edges[0], F.lit(None))
     for upper, label in zip(edges[1:], labels):
-        hit = floor_ok & (v <= upper)
-        band = F.when(hit, label) if band is None else band.when(hit, label)
+        band = band.when(v <= upper, F.lit(label))
     return band
 
 
