@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carepanel.plans import population_queries, resource_queries
+from carepanel.plans import population_queries, readmission_queries, resource_queries
 
-MODULES = [resource_queries, population_queries]
+MODULES = [resource_queries, population_queries, readmission_queries]
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
