@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# (?d): only \n ends a line, so "." and "$" mean what they mean in Python.
-LINE_RULE = "(?d)"
+# d: only \n ends a line, so "." and "$" mean what they mean in Python. U: \b, \s and \d know Unicode.
+LINE_RULE = "(?dU)"
 
 
 def strip(value: Column | str) -> Column:
@@ -51,3 +53,12 @@ def window_before(text: Column, position: Column, width: int) -> Column:
 def compact(items: list[Column]) -> Column:
     """Array of the non-null items, in order."""
     return F.filter(F.array(*items), lambda x: x.isNotNull())
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row.
+
+    A one-element ``transform`` binds it to a lambda variable. Referring to a column instead would let
+    the optimizer inline its expression into inner lambdas, where it would run once per element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
