@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from carepanel.functions.arrays import to_rows
 from carepanel.functions.numeric import sure_flag
 from carepanel.operators.measures import MEDICARE
 from carepanel.operators.panel_risk import ADHERENT_PDC, YEAR
@@ -123,7 +124,8 @@ def gap_count() -> Column:
 
 def care_gaps(panel: DataFrame) -> DataFrame:
     """One row per patient and open gap, with the attributes outreach needs. No shuffle."""
-    return panel.select(*GAP_ATTRIBUTES, F.inline(gap_array()))
+    open_gaps = panel.where(gap_count() > 0)
+    return to_rows(open_gaps, gap_array(), *GAP_ATTRIBUTES, alias="gap").select(*GAP_ATTRIBUTES, "gap.*")
 
 
 def in_urgency_order(gaps: DataFrame) -> DataFrame:
@@ -148,8 +150,8 @@ def with_gap_summary(panel: DataFrame) -> DataFrame:
     gaps = F.col("_gaps")
     ranked = F.array_sort(F.transform(gaps, lambda g: F.struct(g["priority_rank"], g["gap_order"], g["recommended_action"])))
     return (
-        panel.withColumn("_gaps", gap_array())
-        .where(F.size(gaps) > 0)
+        panel.where(gap_count() > 0)
+        .withColumn("_gaps", gap_array())
         .withColumn("num_gaps", F.size(gaps))
         .withColumn("highest_priority", F.array_min(F.transform(gaps, lambda g: g["priority_rank"])))
         .withColumn("gap_types", F.array_join(F.array_sort(F.transform(gaps, lambda g: g["gap_type"])), ", "))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carepanel.functions.arrays import to_rows
+
 # Keyword in the factors -> category, action, priority. Earlier rules win their category.
 RULES = [
     ("prior inpatient", "Transitional care",
@@ -94,7 +96,7 @@ def care_plans(scores: DataFrame) -> DataFrame:
 
 def plan_steps(plans: DataFrame) -> DataFrame:
     """Long form of the plans, numbered from 1."""
-    steps = plans.select("patient_id", F.posexplode("interventions").alias("pos", "s"))
+    steps = to_rows(plans, F.col("interventions"), "patient_id", alias="s", position="pos")
     return steps.select(
         "patient_id", (F.col("pos") + 1).alias("step"), F.col("s.category"), F.col("s.action"), F.col("s.priority")
     )

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carepanel.functions.arrays import to_rows
 from carepanel.functions.numeric import rounded
+from carepanel.functions.text import compact
 from carepanel.operators.panel_risk import ADHERENT_PDC, YEAR
 from carepanel.operators.quality import unfold
 
@@ -118,8 +120,8 @@ def measure_status(counts: DataFrame) -> DataFrame:
 
 def gap_patients(panel: DataFrame) -> DataFrame:
     """Long (measure_id, patient_token) table of open gaps; a narrow step without a shuffle."""
-    hits = F.array(*[F.when(m.eligible & m.gap, F.lit(m.measure_id)) for m in measures()])
-    return panel.select(F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("measure_id"), "patient_token")
+    hits = compact([F.when(m.eligible & m.gap, F.lit(m.measure_id)) for m in measures()])
+    return to_rows(panel, hits, "patient_token", alias="measure_id").select("measure_id", "patient_token")
 
 
 def closure_projection(counts: DataFrame, effectiveness: float = 0.45, share_contacted: float = 0.30) -> DataFrame:

@@ -100,6 +100,16 @@ SOCIAL_PATTERNS = {
         "alcohol (abuse|use|dependence)", "substance (abuse|use disorder)", "tobacco (use|abuse)", "smoking",
     ],
 }
+# Words of which every text matching a pattern of the category holds at least one.
+SOCIAL_ANCHORS = {
+    "social_isolation": ["alone", "social support", "socially isolated", "family support"],
+    "financial_stress": ["financial", "afford", "cost of medication", "lost ", "unemployed"],
+    "housing_instability": ["homeless", "housing", "shelter", "no fixed address"],
+    "food_insecurity": ["food", "nutritional", "dietary"],
+    "transportation": ["transportation", "cannot drive", "no car"],
+    "medication_non_compliance": ["medication non", "not taking", "stopped taking", "ran out of", "unable to afford"],
+    "substance_use": ["alcohol", "substance", "tobacco", "smoking"],
+}
 SOCIAL_DESCRIPTIONS = {
     "social_isolation": "Lives alone / limited social support",
     "financial_stress": "Financial stress / medication cost concerns",
@@ -237,23 +247,46 @@ def lexicon_entities(section_array: Column, lexicon: list[tuple[str, str]] | Non
         *[F.struct(F.lit(t.lower()).alias("term"), F.lit(k).alias("kind")) for t, k in lexicon or default_lexicon()]
     )
 
-    def in_sentence(sentence: Column, section: Column) -> Column:
-        hits = lambda low: F.filter(terms, lambda t: F.contains(low, t["term"]))
+    def present(text: Column, candidates: Column) -> Column:
+        return let(F.lower(text), lambda low: F.filter(candidates, lambda t: F.contains(low, t["term"])))
+
+    def in_sentence(sentence: Column, section: Column, candidates: Column) -> Column:
         return F.transform(
-            let(F.lower(sentence), hits),
+            present(sentence, candidates),
             lambda t: _entity(t["term"], t["kind"], assertion(sentence, t["term"], section), section, sentence),
         )
 
     def in_section(name: str) -> Column:
-        text = F.coalesce(section_text(section_array, name), F.lit(""))
-        sentences = F.filter(F.transform(find_all(text, SENTENCE), strip), lambda s: s != "")
-        return F.flatten(F.transform(sentences, lambda s: in_sentence(s, F.lit(name))))
+        def entities(part: Column) -> Column:
+            text, found = part["text"], part["found"]
+            sentences = F.filter(F.transform(find_all(text, SENTENCE), strip), lambda s: s != "")
+            return F.when(
+                F.size(found) > 0,
+                F.flatten(F.transform(sentences, lambda s: in_sentence(s, F.lit(name), found))),
+            )
+
+        # Only terms the section holds at all are looked for in its sentences.
+        narrowed = let(
+            F.coalesce(section_text(section_array, name), F.lit("")),
+            lambda text: F.struct(text.alias("text"), present(text, terms).alias("found")),
+        )
+        return let(narrowed, entities)
 
-    return F.concat(*[in_section(s) for s in ENTITY_SECTIONS])
+    return F.flatten(compact([in_section(s) for s in ENTITY_SECTIONS]))
 
 
 def social_signals(note_lower: Column) -> Column:
-    return compact([F.when(matches_any(note_lower, p), F.lit(c)) for c, p in SOCIAL_PATTERNS.items()])
+    """Social risk categories mentioned anywhere in the note.
+
+    Plain substring tests come first: most notes hold no word of a category, and for those the far
+    slower regular expression is never started.
+    """
+
+    def mentioned(category: str) -> Column:
+        anchored = any_true([F.contains(note_lower, F.lit(w)) for w in SOCIAL_ANCHORS[category]])
+        return anchored & matches_any(note_lower, SOCIAL_PATTERNS[category])
+
+    return compact([F.when(mentioned(c), F.lit(c)) for c in SOCIAL_PATTERNS])
 
 
 def referrals(note_lower: Column) -> Column:
@@ -313,7 +346,10 @@ def dictionary_findings(note_lower: Column) -> Column:
     """
 
     def find(name: str, synonyms: list[str]) -> Column:
-        at = F.coalesce(*[F.nullif(F.instr(note_lower, F.lit(s)), F.lit(0)) for s in synonyms])
+        # A byte-wise contains is much faster than a character position, and mostly says no.
+        at = F.coalesce(
+            *[F.when(F.contains(note_lower, F.lit(s)), F.instr(note_lower, F.lit(s))) for s in synonyms]
+        )
         before = window_before(note_lower, at, WINDOW)
         status = lambda b: (
             F.when(matches_any(b, DICTIONARY_NEGATION), "negated")

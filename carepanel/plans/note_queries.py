@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from carepanel.functions.arrays import to_rows
 from carepanel.operators import notes as nt
 from carepanel.sources.fixture_views import view
 
@@ -21,17 +22,17 @@ def _joined(column):
 
 
 def section_lines(spark, d):
-    lines = _notes(spark, d).select("note_id", F.posexplode(F.split("note_text", "\n", -1)).alias("line_no", "line"))
-    return lines.select("note_id", "line_no", nt.section_of_line(F.col("line")).alias("section")).where("section IS NOT NULL")
+    marked = F.transform(F.split("note_text", "\n", -1), lambda line: nt.section_of_line(line))
+    return to_rows(_notes(spark, d), marked, "note_id", alias="section", position="line_no")
 
 
 def section_rows(spark, d):
-    return _notes(spark, d).select("note_id", F.inline(nt.sections(F.col("note_text"))))
+    return to_rows(_notes(spark, d), nt.sections(F.col("note_text")), "note_id", alias="s").select("note_id", "s.*")
 
 
 def sentence_assertions(spark, d):
     """Every sentence of the note's own opening lines and text, asserted for one entity in two sections."""
-    sentences = _notes(spark, d).select("note_id", F.posexplode(nt.find_all(F.col("note_text"), nt.SENTENCE)).alias("n", "s"))
+    sentences = to_rows(_notes(spark, d), nt.find_all(F.col("note_text"), nt.SENTENCE), "note_id", alias="s", position="n")
     term = F.lit("a")
     return sentences.select(
         "note_id",
@@ -43,7 +44,7 @@ def sentence_assertions(spark, d):
 
 def entity_rows(spark, d):
     found = _notes(spark, d).select("note_id", nt.sections(F.col("note_text")).alias("parts"))
-    rows = found.select("note_id", F.explode(nt.lexicon_entities(F.col("parts"))).alias("e"))
+    rows = to_rows(found, nt.lexicon_entities(F.col("parts")), "note_id", alias="e")
     return rows.select("note_id", "e.text", "e.entity_type", "e.assertion", "e.section", "e.sentence", "e.confidence")
 
 
@@ -61,23 +62,24 @@ def follow_up_lists(spark, d):
 
 def medication_rows(spark, d):
     annotated = nt.annotate(_notes(spark, d))
-    rows = annotated.select("note_id", F.posexplode("medication_details").alias("n", "m"))
+    rows = to_rows(annotated, F.col("medication_details"), "note_id", alias="m", position="n")
     return rows.select("note_id", "n", "m.name", "m.dose", "m.frequency", "m.original_text")
 
 
 def medication_lines(spark, d):
     """The medication parser over every line of every note."""
-    rows = _notes(spark, d).select("note_id", F.posexplode(nt.medications(F.col("note_text"))).alias("n", "m"))
+    rows = to_rows(_notes(spark, d), nt.medications(F.col("note_text")), "note_id", alias="m", position="n")
     return rows.select("note_id", "n", "m.name", "m.dose", "m.frequency", "m.original_text")
 
 
 def medication_entities(spark, d):
-    rows = nt.annotate(_notes(spark, d)).select("note_id", F.explode("medications").alias("e"))
+    rows = to_rows(nt.annotate(_notes(spark, d)), F.col("medications"), "note_id", alias="e")
     return rows.select("note_id", "e.text", "e.entity_type", "e.assertion", "e.section")
 
 
 def dictionary(spark, d):
-    return _lower(spark, d).select("note_id", F.inline(nt.dictionary_findings(F.col("low"))))
+    findings = nt.dictionary_findings(F.col("low"))
+    return to_rows(_lower(spark, d), findings, "note_id", alias="f").select("note_id", "f.*")
 
 
 def results(spark, d):

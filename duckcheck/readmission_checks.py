@@ -123,10 +123,12 @@ def _subs(src):
       GROUP BY 1, 2))"""
 
 
-GAPS = """gapt AS (SELECT attribute, round_even(CASE WHEN count(recall_tpr) > 1 THEN max(recall_tpr) - min(recall_tpr) ELSE 0 END, 4) AS equal_opportunity_diff,
-  round_even(CASE WHEN count(selection_rate) > 1 THEN max(selection_rate) - min(selection_rate) ELSE 0 END, 4) AS demographic_parity_diff,
+_REL = "FILTER (WHERE reliable)"
+GAPS = f"""gapt AS (SELECT attribute,
+  round_even(CASE WHEN count(recall_tpr) {_REL} > 1 THEN max(recall_tpr) {_REL} - min(recall_tpr) {_REL} ELSE 0 END, 4) AS equal_opportunity_diff,
+  round_even(CASE WHEN count(selection_rate) {_REL} > 1 THEN max(selection_rate) {_REL} - min(selection_rate) {_REL} ELSE 0 END, 4) AS demographic_parity_diff,
   (SELECT subgroup FROM subs i WHERE i.attribute = o.attribute AND reliable AND fnr IS NOT NULL ORDER BY fnr DESC, n DESC, subgroup DESC LIMIT 1) AS worst_fnr_subgroup,
-  round_even(max(fnr), 4) AS worst_fnr FROM (SELECT * FROM subs WHERE reliable) o GROUP BY attribute)"""
+  round_even(max(fnr) {_REL}, 4) AS worst_fnr FROM subs o GROUP BY attribute)"""
 A_ = f"{FS_.rstrip()}, {AUDIT}, {SEG}, subs AS {_subs('long0')}, {GAPS} "
 
 
@@ -283,6 +285,6 @@ CHECKS = {
     "e12_top_three_drivers": C_ + f"SELECT label FROM ({_IMPORTANCE}) ORDER BY relative_influence DESC, feature LIMIT 3",
     "e13_group_view": A_ + """SELECT attribute, subgroup AS "group", n AS patients, positive_rate AS actual_readmit_rate, auroc AS ranking_quality, recall_tpr AS high_risk_caught,
         fnr AS high_risk_missed, selection_rate AS flagged_rate FROM subs""",
-    "e13_fairness_statement": A_ + """SELECT attribute, equal_opportunity_diff, demographic_parity_diff, concat('The model misses the most readmissions in the ', worst_fnr_subgroup,
-        ' group - about ', CAST(CAST(round_even(worst_fnr * 100, 0) AS INT) AS STRING), '% go unflagged.') AS statement FROM gapt""",
+    "e13_fairness_statement": A_ + """SELECT attribute, equal_opportunity_diff, demographic_parity_diff, 'The model misses the most readmissions in the ' || worst_fnr_subgroup ||
+        ' group - about ' || CAST(CAST(round_even(worst_fnr * 100, 0) AS INT) AS STRING) || '% go unflagged.' AS statement FROM gapt""",
 }
