@@ -88,9 +88,18 @@ def add_target(df: DataFrame) -> DataFrame:
     return df.withColumn(TARGET, sure_flag(F.col("readmitted") == "<30"))
 
 
+def usable_first_encounters(raw: DataFrame) -> DataFrame:
+    """The row-dropping half of the cleaning, ending in the one shuffle by patient."""
+    return reduce(lambda df, step: step(df), [missing_to_null, drop_sparse, exclude_expired, first_encounters], raw)
+
+
+def finish(first: DataFrame) -> DataFrame:
+    """The value half: caps, standard fields and target."""
+    return reduce(lambda df, step: step(df), [cap_outliers, standardize, add_target], first)
+
+
 def clean(raw: DataFrame) -> DataFrame:
-    steps = [missing_to_null, drop_sparse, exclude_expired, first_encounters, cap_outliers, standardize, add_target]
-    return reduce(lambda df, step: step(df), steps, raw)
+    return finish(usable_first_encounters(raw))
 
 
 def provenance(raw: DataFrame) -> DataFrame:

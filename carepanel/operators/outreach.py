@@ -78,7 +78,11 @@ def explorer(view: DataFrame, limit: int = 1000) -> DataFrame:
     return view.select(*EXPORT_COLUMNS).orderBy(F.desc("risk_score"), "patient_id").limit(limit)
 
 
-def pick_list(view: DataFrame, limit: int = 500) -> DataFrame:
+def pick_list(view: DataFrame, limit: int = 500, fallback: DataFrame | None = None) -> DataFrame:
+    """Highest scores of the filtered view, or of ``fallback`` when the view is empty."""
+    if fallback is not None:
+        shown = view.agg(F.count("*")).scalar()
+        view = view.unionByName(fallback.where(shown == 0), allowMissingColumns=True)
     return view.select("patient_id", "risk_score").orderBy(F.desc("risk_score"), "patient_id").limit(limit)
 
 

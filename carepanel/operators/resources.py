@@ -152,6 +152,13 @@ def flatten_patients(patients: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def condition_subjects(conditions: DataFrame) -> DataFrame:
+    """Patient of every condition, coded or not: what cohort discovery looks at."""
+    return only_kind(conditions, "Condition").select(
+        subject_id().alias("patient_id"), or_empty("id").alias("condition_id")
+    )
+
+
 def cohort_ids(conditions: DataFrame, order_by: str, limit: int | None = None) -> DataFrame:
     """Distinct patients with a condition, in order of first appearance, optionally the first few."""
     ids = (

@@ -31,7 +31,11 @@ def run(raw: DataFrame, root: str, options: dict[str, dict] | None = None) -> li
     """
     spark = raw.sparkSession
     options = options or {}
-    ef.build_features(cleaning.clean(raw)).write.mode("overwrite").parquet(f"{root}/features")
+    # Caps and frequent levels are aggregates over the deduplicated rows. Storing those rows means the
+    # shuffle by patient happens once, not once more per aggregate.
+    cleaning.usable_first_encounters(raw).write.mode("overwrite").parquet(f"{root}/first_encounters")
+    first = spark.read.parquet(f"{root}/first_encounters")
+    ef.build_features(cleaning.finish(first)).write.mode("overwrite").parquet(f"{root}/features")
     features = spark.read.parquet(f"{root}/features")
 
     metrics, models = modeling.compare_models(features, PATIENT, TARGET, options)

@@ -257,6 +257,11 @@ def patient_card(spark, d):
     return outreach.patient_card(scores, first).select(*scoring.EXPORT_COLUMNS)
 
 
+def empty_view_pick_list(spark, d):
+    scores = _scores(spark, d)
+    return outreach.pick_list(outreach.filter_panel(scores, ["None"]), 100, fallback=scores)
+
+
 def fairness_statement(spark, d):
     return fairness.worst_group_statement(fairness.fairness_gaps(_subgroups(spark, d)))
 
@@ -313,6 +318,7 @@ QUERIES = {
     "e07_score_bands": lambda s, d: outreach.score_bands(_scores(s, d)),
     "e08_filtered_explorer": filtered_explorer,
     "e09_pick_list": lambda s, d: outreach.pick_list(_scores(s, d)),
+    "e09_pick_list_of_empty_view": empty_view_pick_list,
     "e09_patient_card": patient_card,
     "e10_headline": lambda s, d: outreach.headline(_scores(s, d)),
     "e11_precision_recall_points": lambda s, d: curves.precision_recall_points(_sweep(s, d)),

@@ -40,9 +40,8 @@ def run_from_exports(
     raw = {kind: read_resources(spark, path, kind) for kind, path in paths.items()}
     conditions = rs.flatten_conditions(raw["Condition"])
     observations = rs.flatten_observations(raw["Observation"]).withColumn("seq", F.monotonically_increasing_id())
-    patients = rs.cohort_patients(
-        rs.flatten_patients(raw["Patient"], as_of), conditions, "condition_id", cohort_size
-    )
+    subjects = rs.condition_subjects(raw["Condition"])
+    patients = rs.cohort_patients(rs.flatten_patients(raw["Patient"], as_of), subjects, "condition_id", cohort_size)
     return patient_feature_table(
         patients,
         conditions,

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carepanel.operators.panel_risk import RISK_TIERS
+
 LATEST = "LATEST"
 
 
@@ -54,14 +56,13 @@ def write_tables(tables: dict[str, DataFrame], root: str, fmt: str = "csv", skip
 
 def population_snapshot(panel: DataFrame, gap_totals: DataFrame, measure_table: DataFrame, generated_at: str) -> DataFrame:
     """One nested row: panel size, tier counts, gap totals and the ten measure records."""
-    tiers = panel.groupBy("risk_tier").agg(F.count("*").alias("n"))
-    tier_map = tiers.agg(F.map_from_entries(F.collect_list(F.struct("risk_tier", "n")))).scalar()
-    size = panel.agg(F.count("*")).scalar()
+    tiers = [x for t in RISK_TIERS for x in (F.lit(t), F.count_if(F.col("risk_tier") == t))]
+    counted = panel.agg(F.struct(F.count("*").alias("size"), F.create_map(*tiers).alias("tiers"))).scalar()
     records = measure_table.agg(F.collect_list(F.struct(*measure_table.columns))).scalar()
     return gap_totals.select(
         F.lit(generated_at).alias("generated_at"),
-        size.alias("population_size"),
-        tier_map.alias("risk_tier_counts"),
+        counted["size"].alias("population_size"),
+        counted["tiers"].alias("risk_tier_counts"),
         F.col("total_gaps").alias("total_care_gaps"),
         "patients_with_gaps",
         records.alias("hedis_measures"),

@@ -276,6 +276,7 @@ CHECKS = {
         FROM (SELECT unnest(range(0, 100, 5)) AS lo))""", "lo"),
     "e08_filtered_explorer": S_ + f"SELECT {_EXPORT} FROM sc WHERE tier IN ('High', 'Medium') AND risk_score BETWEEN 55 AND 90 ORDER BY risk_score DESC, patient_id LIMIT 1000",
     "e09_pick_list": S_ + "SELECT patient_id, risk_score FROM sc ORDER BY risk_score DESC, patient_id LIMIT 500",
+    "e09_pick_list_of_empty_view": S_ + "SELECT patient_id, risk_score FROM sc ORDER BY risk_score DESC, patient_id LIMIT 100",
     "e09_patient_card": S_ + f"SELECT {_EXPORT} FROM sc ORDER BY risk_score DESC, patient_id LIMIT 1",
     "e10_headline": S_ + """SELECT count(*) AS patients, count(*) FILTER (WHERE tier = 'High') AS high_risk, round_even(CAST(count(*) FILTER (WHERE tier = 'High') AS DOUBLE) / count(*) * 100, 1)
         AS high_risk_pct, round(avg(risk_score), 6) AS mean_score FROM sc""",

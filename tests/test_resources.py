@@ -131,6 +131,7 @@ def test_run_from_exports(spark, tmp_path):
          "address": [{"state": "MA", "postalCode": "02139"}], "telecom": [{"system": "email", "value": "e"}, {"system": "phone", "value": "5"}]},
         {"id": "p2", "resourceType": "Patient"},
         {"id": "p3", "resourceType": "Patient", "gender": "male"},
+        {"id": "p4", "resourceType": "Patient", "address": [{"state": "NY"}]},
     ]
     encounters = [
         {"id": f"e{i}", "resourceType": "Encounter", "subject": {"reference": "Patient/p1"}, "class": {"code": "imp"},
@@ -139,7 +140,7 @@ def test_run_from_exports(spark, tmp_path):
     meds = [{"id": f"m{i}", "resourceType": "MedicationRequest", "subject": {"reference": "Patient/p1"}, "status": "active"} for i in range(6)]
     paths = {
         "Patient": export(tmp_path, "p", patients),
-        "Condition": export(tmp_path, "c", [condition(1, ["E11"], clinicalStatus={"coding": [{"code": "active"}]}), condition(2, ["I50.1"], "Patient/p2"), "broken"]),
+        "Condition": export(tmp_path, "c", [condition(1, ["E11"], clinicalStatus={"coding": [{"code": "active"}]}), condition(2, ["I50.1"], "Patient/p2"), condition(3, [], "Patient/p4"), "broken"]),
         "Observation": export(tmp_path, "o", [observation(1, {"valueQuantity": {"value": 9.2}}, "2024-01-01", interpretation="H")]),
         "Encounter": export(tmp_path, "e", encounters),
         "MedicationRequest": export(tmp_path, "m", meds),
@@ -149,7 +150,8 @@ def test_run_from_exports(spark, tmp_path):
     assert not privacy.PHI_COLUMNS & set(out.columns)
     by_state = {r.state: r for r in out.collect()}
     p1, p2 = by_state["MA"], by_state[""]
-    assert len(by_state) == 2
+    # p3 has no condition at all and is left out; p4 has one without a code and stays
+    assert set(by_state) == {"MA", "", "NY"} and by_state["NY"].num_total_conditions == 0
     assert (p1.num_inpatient_encounters, p1.avg_length_of_stay, p1.long_stay_history, p1.polypharmacy) == (3, 5.0, 1, 1)
     assert p1.uncontrolled_diabetes == 1 and p1.risk_score == 30 + 12 + 8 + 8 + 10 + 5 and p1.risk_tier == "HIGH"
     assert (p2.has_heart_failure, p2.num_active_medications, p2.hba1c_value, p2.risk_score) == (1, 0, None, 15)
