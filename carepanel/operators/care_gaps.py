@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from carepanel.functions.arrays import to_rows
+from carepanel.functions.arrays import computed_once, to_rows
 from carepanel.functions.numeric import sure_flag
 from carepanel.operators.measures import MEDICARE
 from carepanel.operators.panel_risk import ADHERENT_PDC, YEAR
@@ -122,10 +122,15 @@ def gap_count() -> Column:
     return sum((sure_flag(rule[0]) for rule in gap_rules()), F.lit(0))
 
 
+def gap_count_of(priority: str) -> Column:
+    """Number of open gaps of one priority, without building their texts."""
+    rules = gap_rules()
+    return sum((sure_flag(applies & (level == priority)) for applies, _, _, level, _, _ in rules), F.lit(0))
+
+
 def care_gaps(panel: DataFrame) -> DataFrame:
     """One row per patient and open gap, with the attributes outreach needs. No shuffle."""
-    open_gaps = panel.where(gap_count() > 0)
-    return to_rows(open_gaps, gap_array(), *GAP_ATTRIBUTES, alias="gap").select(*GAP_ATTRIBUTES, "gap.*")
+    return to_rows(panel, gap_array(), *GAP_ATTRIBUTES, alias="gap").select(*GAP_ATTRIBUTES, "gap.*")
 
 
 def in_urgency_order(gaps: DataFrame) -> DataFrame:
@@ -150,8 +155,8 @@ def with_gap_summary(panel: DataFrame) -> DataFrame:
     gaps = F.col("_gaps")
     ranked = F.array_sort(F.transform(gaps, lambda g: F.struct(g["priority_rank"], g["gap_order"], g["recommended_action"])))
     return (
-        panel.where(gap_count() > 0)
-        .withColumn("_gaps", gap_array())
+        computed_once(panel, gap_array(), "_gaps")
+        .where(F.size(gaps) > 0)
         .withColumn("num_gaps", F.size(gaps))
         .withColumn("highest_priority", F.array_min(F.transform(gaps, lambda g: g["priority_rank"])))
         .withColumn("gap_types", F.array_join(F.array_sort(F.transform(gaps, lambda g: g["gap_type"])), ", "))

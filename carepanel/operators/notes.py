@@ -141,7 +141,7 @@ LIST_NUMBER = r"^\d+\.?\s*"
 
 def section_of_line(line: Column, strict_headers: bool = True) -> Column:
     """Section named by a header line, null for any other line."""
-    candidate = strip(F.rtrim(strip(F.lower(line)), F.lit(":")))
+    candidate = strip(F.rtrim(strip(line), F.lit(":")))
 
     def match(text: Column) -> Column:
         found = None
@@ -149,9 +149,11 @@ def section_of_line(line: Column, strict_headers: bool = True) -> Column:
             extra = [] if strict_headers else LENIENT_HEADERS.get(section, [])
             hit = matches(text, "^(?:" + "|".join(patterns + extra) + r")\z")
             found = F.when(hit, section) if found is None else found.when(hit, section)
-        return F.when((text != "") & (F.length(text) <= LONGEST_HEADER), found)
+        return found
 
-    return let(candidate, match)
+    # Ordinary lines are longer than any header, so they are settled by their length alone.
+    short = lambda text: (text != "") & (F.length(text) <= LONGEST_HEADER)
+    return let(candidate, lambda text: F.when(short(text), let(F.lower(text), match)))
 
 
 def sections(note: Column, strict_headers: bool = True) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carepanel.functions.numeric import right_closed_band, rounded
-from carepanel.operators.care_gaps import PRIORITIES, gap_count
+from carepanel.operators.care_gaps import PRIORITIES, gap_count, gap_count_of
 from carepanel.operators.measures import MEDICARE
 from carepanel.operators.panel_risk import ADHERENT_PDC, RISK_TIERS, YEAR
 from carepanel.operators.quality import unfold
@@ -121,17 +121,19 @@ def top_gap_types(panel: DataFrame, gaps: DataFrame, n: int = 5) -> DataFrame:
     return ranked.select("gap_type", "patients", share.alias("pct_of_patients_with_gaps"))
 
 
-def financial_impact(panel: DataFrame, measure_counts: DataFrame, gaps: DataFrame) -> DataFrame:
+def financial_impact(panel: DataFrame, measure_counts: DataFrame) -> DataFrame:
     """Distance to quality targets, value of better ratings and admissions avoided by closing gaps."""
     shortfall = F.when(~F.col("lower_is_better"), F.greatest(F.lit(0.0), F.col("target") - F.col("raw_rate")))
     to_target = measure_counts.agg(F.try_divide(F.sum(shortfall), F.count("*"))).scalar()
-    medicare = panel.agg(F.count_if(F.col("insurance").isin(MEDICARE))).scalar()
-    by_priority = gaps.agg(*[F.count_if(F.col("priority") == p).alias(p) for p in AVOIDED_SHARE])
+    counted = panel.agg(
+        F.count_if(F.col("insurance").isin(MEDICARE)).alias("medicare_members"),
+        *[F.coalesce(F.sum(gap_count_of(p)), F.lit(0)).alias(p) for p in AVOIDED_SHARE],
+    )
     avoided = sum((F.col(p) * share for p, share in AVOIDED_SHARE.items()), F.lit(0.0))
-    return by_priority.select(
+    return counted.select(
         rounded(to_target, 1).alias("mean_gap_to_target_pp"),
-        medicare.alias("medicare_members"),
-        (medicare * STAR_VALUE_PER_MEMBER).alias("star_improvement_value"),
+        "medicare_members",
+        (F.col("medicare_members") * STAR_VALUE_PER_MEMBER).alias("star_improvement_value"),
         F.col("CRITICAL").alias("critical_gaps"),
         F.col("HIGH").alias("high_gaps"),
         rounded(avoided, 2).alias("avoided_admissions"),

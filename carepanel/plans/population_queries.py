@@ -95,7 +95,7 @@ QUERIES = {
     "c41_gap_priority_shares": lambda s, d: rep.gap_priority_shares(_gaps(s, d)),
     "c42_top_gap_types": lambda s, d: rep.top_gap_types(_derived(s, d), _gaps(s, d)),
     "c43_social_prevalence": lambda s, d: rep.social_prevalence(_derived(s, d)),
-    "c44_financial_impact": lambda s, d: rep.financial_impact(_derived(s, d), _counts(s, d), _gaps(s, d)),
+    "c44_financial_impact": lambda s, d: rep.financial_impact(_derived(s, d), _counts(s, d)),
     "c45_engagement": lambda s, d: rep.engagement(view(s, d, "population")),
     "c45_contact_preferences": lambda s, d: rep.contact_preferences(view(s, d, "population")),
     "c46_glycemic_bands": lambda s, d: rep.glycemic_bands(view(s, d, "population")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carepanel.functions.arrays import computed_once
 from carepanel.sources.schemas import CORRUPT, resource_schema
 
 
@@ -25,9 +26,7 @@ def parse_resources(lines: DataFrame, kind: str, column: str = "value") -> DataF
     """The same scan for resources already held as a text column (a queue or a landing table)."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(F.col(column), resource_schema(kind), options)
-    # Behind a generator the parsed row is computed once; as a plain column it would be inlined into
-    # every filter and parsed again there.
-    return lines.select(F.explode_outer(F.array(parsed)).alias("r")).select("r.*")
+    return computed_once(lines, parsed, "r").select("r.*")
 
 
 def only_kind(resources: DataFrame, kind: str) -> DataFrame:
