@@ -81,3 +81,10 @@ def test_csv_source_is_text_until_coerced(spark, tmp_path):
     with pytest.raises(ValueError, match="readmitted"):
         load_encounters(spark, str(path), lambda s, p: text.drop("readmitted"))
     assert coerce_numbers(text).schema["patient_nbr"].dataType.simpleString() == "double"
+
+
+def test_first_encounter_under_one_dominant_patient(spark):
+    hot = spark.range(4000).selectExpr("id AS encounter_id", "7L AS patient_nbr")
+    rest = spark.range(4000, 6000).selectExpr("id AS encounter_id", "id AS patient_nbr")
+    out = cleaning.first_encounters(hot.unionByName(rest))
+    assert out.count() == 2001 and out.where("patient_nbr = 7").first().encounter_id == 0

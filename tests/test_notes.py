@@ -1,5 +1,7 @@
 """A synthetic discharge note with the awkward cases of headers, negation and titles."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +132,19 @@ def test_long_note_of_headers(spark):
     text = "\n".join(f"HPI:\nline {i}" for i in range(3000))
     df = spark.createDataFrame([(1, text)], "note_id long, note_text string")
     assert parts(df) == {"history_of_present_illness": "line 2999"}
+
+
+def test_every_social_pattern_holds_an_anchor_outside_its_optional_parts():
+    for category, patterns in nt.SOCIAL_PATTERNS.items():
+        for pattern in patterns:
+            fixed = re.sub(r"\([^)]*\)\??|.\?", "|", pattern)
+            assert any(a in fixed for a in nt.SOCIAL_ANCHORS[category]), pattern
+
+
+def test_social_anchors_change_no_result(spark):
+    texts = ["He lives alone", "live alone", "affording medication", "lost work", "medication non compliance", "medicationnon-adherence",
+             "ran out of it", "no cars", "a food desert", "dietary plan", "substance use disorder", "substance", "Homeless SHELTER", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("low", F.lower("t"))
+    got = {r.i: r.s for r in df.select("i", nt.social_signals(F.col("low")).alias("s")).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == [c for c, ps in nt.SOCIAL_PATTERNS.items() if any(re.search(p, text.lower()) for p in ps)], text
