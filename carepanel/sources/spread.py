@@ -1,0 +1,17 @@
+"""Spreading small inputs of CPU-heavy work over the cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SMALL_BYTES = 128 * 1024 * 1024  # one default scan partition
+
+
+def spread_small(df: DataFrame, limit: int = SMALL_BYTES) -> DataFrame:
+    """Repartition an input smaller than one scan partition; larger inputs come back unchanged.
+
+    A small file is often a single row group, so one task would do all the work. Shuffling at most
+    ``limit`` bytes costs next to nothing; a large input has splits enough and is never shuffled.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate < limit else df

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from carepanel.operators import notes as nt
+from carepanel.plans import note_job
+from carepanel.sources.spread import spread_small
 
 NOTE = """Seen by Dr. Example
 CHIEF COMPLAINT:
@@ -148,3 +150,15 @@ def test_social_anchors_change_no_result(spark):
     got = {r.i: r.s for r in df.select("i", nt.social_signals(F.col("low")).alias("s")).collect()}
     for i, text in enumerate(texts):
         assert got[i] == [c for c, ps in nt.SOCIAL_PATTERNS.items() if any(re.search(p, text.lower()) for p in ps)], text
+
+
+def test_only_small_inputs_are_spread(note):
+    assert spread_small(note).rdd.getNumPartitions() > 1
+    assert spread_small(note, limit=1) is note
+
+
+def test_note_job(spark, note, annotated, tmp_path):
+    note_job.write_annotations(note, str(tmp_path))
+    stored = spark.read.parquet(f"{tmp_path}/note_features")
+    assert stored.first() == nt.note_features(annotated).first()
+    assert spark.read.parquet(f"{tmp_path}/note_flags").count() == 1
