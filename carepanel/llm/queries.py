@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carepanel.llm import secret_scan, shards, simhash, topk
+from carepanel.llm import bpe, language, secret_scan, shards, simhash, token_files, topk
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,10 +20,27 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.new_folder(spark)
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER), end_id=2)
+    read = token_files.read_token_files(spark, folder, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))
+    return read.withColumnRenamed("value", "ids_crc32")
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = bpe.with_ids(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return bpe.digests(bpe.with_decoded(encoded.drop("text"), path))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.balanced_shards(_table(spark, sf_dir, "documents"), n_shards=8)
 
@@ -29,7 +51,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_language": op2_language,
+    "op4_token_files": op4_token_files,
     "op5_topk": op5_topk,
+    "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
     "op10_secrets": op10_secrets,
 }
