@@ -6,8 +6,9 @@ import zlib
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carepanel.llm import bpe, language, secret_scan, shards, simhash, token_files, topk
+from carepanel.llm import bpe, language, line_templates, secret_scan, shards, simhash, token_files, topk
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -24,6 +25,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.new_folder(spark)
     token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER), end_id=2)
@@ -52,6 +58,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
+    "op3_lines": op3_lines,
     "op4_token_files": op4_token_files,
     "op5_topk": op5_topk,
     "op8_bpe": op8_bpe,
