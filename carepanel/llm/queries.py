@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepanel.llm import bpe, language, line_templates, secret_scan, shards, simhash, token_files, topk
+from carepanel.llm import bpe, contamination, language, line_templates, secret_scan, shards, simhash, token_files, topk
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -41,6 +41,10 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.leaked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     encoded = bpe.with_ids(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -61,6 +65,7 @@ QUERIES = {
     "op3_lines": op3_lines,
     "op4_token_files": op4_token_files,
     "op5_topk": op5_topk,
+    "op7_contamination": op7_contamination,
     "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
     "op10_secrets": op10_secrets,
