@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepanel.llm import bpe, contamination, language, line_templates, secret_scan, shards, simhash, token_files, topk
+from carepanel.llm import bpe, contamination, language, line_templates, secret_scan, shards, simhash, suffixes, token_files, topk
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -41,6 +41,13 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.without_repeats(_table(spark, sf_dir, "documents"), length=200)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+    n_spans = F.size("removed").cast("long")
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), n_spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.leaked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +72,7 @@ QUERIES = {
     "op3_lines": op3_lines,
     "op4_token_files": op4_token_files,
     "op5_topk": op5_topk,
+    "op6_suffixes": op6_suffixes,
     "op7_contamination": op7_contamination,
     "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
