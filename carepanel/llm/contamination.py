@@ -140,7 +140,7 @@ def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     size: int = 5,
-    literals: int = 3,
+    literals: int = 2,
     least_share: float = 0.8,
     least_run: int = 13,
     text_col: str = "text",

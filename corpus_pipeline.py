@@ -1,13 +1,75 @@
-"""From raw documents to token rows: language, repeated lines, near copies, benchmark leaks, encoding."""
+"""From raw documents to encoded rows: language, repeated lines, near copies, benchmark leaks, tokens.
+
+Each stage takes (spark, docs, sf_dir) and is written as Parquet and reread before the next one. All but the last
+return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from carepanel.llm import bpe, contamination, language, line_templates, simhash
+from carepanel.llm.shared import stored
+
+LEAST_LANGUAGE_SCORE = 0.4
+TOKENIZER = "word_bpe_49k.json"
+#: No SQL for language, fingerprints and encoding; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text has letters and a language that the model is not in doubt about; what is learned comes from docs."""
+    model = language.train(docs.where(~language.is_held_out()))
+    scored = language.with_language(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, into="found")
+    kept = (F.col("found.lang") != language.UNKNOWN) & (F.col("found.score") >= LEAST_LANGUAGE_SCORE)
+    return scored.where(kept).select("row.*")
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, their texts freed of recurring lines; n_chars follows the text."""
+    cleaned = line_templates.without_repeated_lines(docs)
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row with the smallest doc_id of each SimHash component."""
+    groups = simhash.near_duplicates(docs, shingle_words=3, max_bits=3)
+    leaders = groups.where("doc_id = component_id").select("doc_id").distinct()
+    # rows that repeat an id are copies or stand for one document: the first by text stays
+    kept = docs.join(leaders, "doc_id", "left_semi")
+    repeated = stored(kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    rows = kept.select("doc_id", F.struct(*docs.columns).alias("row"))
+    once = rows.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return rows.join(repeated, "doc_id", "left_anti").unionByName(once).select("row.*")
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a benchmark item."""
+    return contamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and of the text that they decode to."""
+    path = public_tokenizers.path(TOKENIZER)
+    ids = bpe.with_ids(docs.select("doc_id", "text"), path)
+    return bpe.digests(bpe.with_decoded(ids.drop("text"), path))
+
+
+STAGES = [
+    ("language", known_language),
+    ("line dedup", without_repeated_lines),
+    ("near duplicates", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("encoding", encoded),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
