@@ -18,6 +18,24 @@ def rounded(value: Column | str, digits: int) -> Column:
     return F.rint(as_col(value).cast("double") * scale) / scale
 
 
+# What counts as a number: no type suffixes, hexadecimals, NaN or Infinity, which a plain cast would take.
+PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+WHOLE_NUMBER = r"^[+-]?\d+(\.0*)?$"
+
+
+def plain_number(text: Column | str) -> Column:
+    """Text that reads as a finite decimal number as double, else null; white space around it is allowed."""
+    trimmed = F.trim(as_col(text))
+    number = F.when(trimmed.rlike(PLAIN_NUMBER), trimmed.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
+
+
+def whole_number(text: Column | str) -> Column:
+    """Text that reads as a whole number as bigint, so that long ids stay exact; else null."""
+    trimmed = F.trim(as_col(text))
+    return F.when(trimmed.rlike(WHOLE_NUMBER), F.substring_index(trimmed, ".", 1).try_cast("bigint"))
+
+
 def ratio(num: Column, den: Column) -> Column:
     """``num / den`` as double, null when the denominator is zero."""
     return F.try_divide(num.cast("double"), den.cast("double"))

@@ -81,7 +81,7 @@ def interventions() -> Column:
 def care_plans(scores: DataFrame) -> DataFrame:
     """One plan per patient: summary text and interventions by priority."""
     summary = F.concat(
-        F.col("tier"), F.lit("-risk patient (score "), F.col("risk_score").cast("string"), F.lit("/100). Key drivers: "),
+        F.col("tier"), F.lit("-risk patient (score "), F.coalesce(F.col("risk_score").cast("string"), F.lit("NA")), F.lit("/100). Key drivers: "),
         F.col("top_3_risk_factors"),
         F.lit(". Plan targets the top modifiable readmission drivers with a structured 30-day transition."),
     )

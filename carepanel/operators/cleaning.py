@@ -99,7 +99,8 @@ def finish(first: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    return finish(usable_first_encounters(raw))
+    """Both halves. The deduplicated rows are kept (spilling to disk), as caps and levels are aggregates over them."""
+    return finish(usable_first_encounters(raw).persist())
 
 
 def provenance(raw: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Classifier metrics and threshold curves.
 
-Everything starts from ``curve_points``: positives and negatives per 4-decimal probability. That
-aggregate has at most 10 001 rows per group whatever the data size, so the running sums that follow
-are windows over small tables, and no metric ever ranks the patients themselves.
+The sweep and the fairness tables start from ``curve_points``: positives and negatives per 4-decimal probability.
+That aggregate has at most 10 001 rows per group whatever the data size, so the running sums that follow
+are windows over small tables. ``evaluate`` works on the probabilities as they are: running sums inside each of
+10 001 bins, on top of the totals of the bins before.
 """
 
 from __future__ import annotations
@@ -27,16 +28,32 @@ def curve_points(scored: DataFrame, label: str = "y_true", groups: tuple[str, ..
     )
 
 
-def _with_running_sums(points: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    part = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    rising = part.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    falling = part.orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
-    return points.withColumns(
-        {
-            "neg_below": F.coalesce(F.sum("neg").over(rising), F.lit(0)),
-            "tp_here": F.sum("pos").over(falling),
-            "fp_here": F.sum("neg").over(falling),
-        }
+def exact_points(scored: DataFrame, label: str, groups: tuple[str, ...]) -> DataFrame:
+    """Positives and negatives of each probability, the negatives below it, and both classes from it upwards."""
+    points = (
+        scored.select(*groups, F.col("probability").alias("p"), F.col(label).cast("long").alias("y"))
+        .groupBy(*groups, "p")
+        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+        .withColumn("bin", F.greatest(F.lit(0), F.least(F.lit(10_000), F.floor(F.col("p") * 10_000))).cast("int"))
+    )
+    bins = points.groupBy(*groups, "bin").agg(F.sum("pos").alias("bin_pos"), F.sum("neg").alias("bin_neg"))
+    all_bins = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    before = all_bins.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    after = all_bins.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
+    over = lambda c, window: F.coalesce(F.sum(c).over(window), F.lit(0))
+    bases = bins.select(
+        *groups, "bin", over("bin_neg", before).alias("neg_base"), over("bin_pos", after).alias("tp_base"), over("bin_neg", after).alias("fp_base")
+    )
+    inside = Window.partitionBy(*groups, "bin")
+    rising = inside.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    falling = inside.orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = points.withColumns({"neg_in": over("neg", rising), "tp_in": F.sum("pos").over(falling), "fp_in": F.sum("neg").over(falling)})
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*groups, "bin")]
+    return placed.alias("x").join(bases.alias("b"), same).select(
+        *(F.col(f"x.{c}") for c in (*groups, "p", "pos", "neg")),
+        (F.col("neg_base") + F.col("neg_in")).alias("neg_below"),
+        (F.col("tp_base") + F.col("tp_in")).alias("tp_here"),
+        (F.col("fp_base") + F.col("fp_in")).alias("fp_here"),
     )
 
 
@@ -60,7 +77,7 @@ def evaluate(
     scored: DataFrame, label: str = "y_true", threshold: float = DEFAULT_THRESHOLD, groups: tuple[str, ...] = ()
 ) -> DataFrame:
     """All metrics of a scored table (per group), from one aggregation of the rows."""
-    points = _with_running_sums(curve_points(scored, label, groups), groups)
+    points = exact_points(scored, label, groups)
     p, pos, neg = F.col("p"), F.col("pos"), F.col("neg")
     flagged = p >= threshold
     total = lambda c, when: F.coalesce(F.sum(F.when(when, c)), F.lit(0))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from carepanel.functions.numeric import rounded, sure_flag
-from carepanel.functions.text import strip
+from carepanel.functions.numeric import plain_number, rounded, sure_flag
+from carepanel.functions.text import let, strip
 from carepanel.operators.cleaning import ENCOUNTER, PATIENT, TARGET
 from carepanel.operators.quality import unfold
 from carepanel.sources.schemas import MEDICATION_COLUMNS
@@ -55,13 +55,14 @@ DISCHARGES = {
     "AMA": [7],
 }
 RARE_SHARE = 0.01
-PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def icd9_group(code: Column) -> Column:
     """Disease group of an ICD-9 code."""
-    text = strip(code)
-    number = F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    return let(strip(code), lambda text: let(plain_number(text), lambda number: _icd9_group(text, number)))
+
+
+def _icd9_group(text: Column, number: Column) -> Column:
     whole = F.floor(number)
     group = (
         F.when(text.isNull() | (text == "") | (F.lower(text) == "nan"), "Missing")
@@ -125,8 +126,10 @@ def add_medication_churn(df: DataFrame) -> DataFrame:
 
 def frequent_levels(df: DataFrame, column: str, min_share: float = RARE_SHARE) -> DataFrame:
     """Levels (null included) holding at least ``min_share`` of the rows: never more than 1/min_share rows."""
-    total = df.agg(F.count("*")).scalar()
+    if min_share <= 0:
+        raise ValueError("min_share must be positive, as it bounds how many levels there can be")
     levels = df.groupBy(F.col(column).alias("_level")).agg(F.count("*").alias("_n"))
+    total = levels.agg(F.sum("_n")).scalar()
     return levels.where(F.col("_n") / total >= min_share).select("_level", F.lit(True).alias("_kept"))
 
 

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from carepanel.functions.numeric import rounded
 from carepanel.operators import curves
@@ -29,19 +30,30 @@ LOGISTIC_ITERATIONS = 1000
 WEIGHT, FEATURES = "row_weight", "features"
 
 
-def fold_of(id_col: str, folds: int, seed: int) -> Column:
-    """Fold number of an id: a digest of id and seed, so it is the same on any cluster and in any run.
+BUCKETS = 4096
 
-    Rows of each label spread evenly over the folds without ranking the labels, which would put all
-    negatives of the data set through one task.
-    """
-    digest = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(folds)).cast("int")
 
+def with_folds(rows: DataFrame, id_col: str, label: str, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
+    """``fold`` for every row, stratified: per label the fold sizes differ by one at most.
 
-def with_split(features: DataFrame, id_col: str, seed: int = SEED) -> DataFrame:
+    Rows of a label are dealt out in the order of a digest of id and seed, so the folds are the same on any
+    cluster. No task ranks a whole label: the digest picks one of BUCKETS buckets, counts per label and bucket
+    (a small table) give each bucket its offset, and rows are ranked inside their bucket only.
+    """
+    digest = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("bigint")
+    dealt = rows.withColumn("_digest", digest).withColumn("_bucket", F.col("_digest") % BUCKETS)
+    counts = dealt.groupBy(F.col(label).alias("_label"), F.col("_bucket").alias("_of")).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_label").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_label", "_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(label, "_bucket").orderBy("_digest", id_col)
+    ranked = dealt.withColumn("_rank", F.row_number().over(inside) - 1)
+    joined = ranked.join(offsets, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_bucket") == F.col("_of")), "left")
+    return joined.withColumn("fold", ((F.col("_offset") + F.col("_rank")) % folds).cast("int")).select(*rows.columns, "fold")
+
+
+def with_split(features: DataFrame, id_col: str, label: str, seed: int = SEED) -> DataFrame:
     """``is_test`` for a stratified share of one in ``TEST_PARTS``."""
-    return features.withColumn("is_test", fold_of(id_col, TEST_PARTS, seed) == 0)
+    return with_folds(features, id_col, label, TEST_PARTS, seed).withColumn("is_test", F.col("fold") == 0).drop("fold")
 
 
 def positive_class_weight(rows: DataFrame, label: str) -> DataFrame:
@@ -128,7 +140,7 @@ def compare_models(
     features: DataFrame, id_col: str, label: str, options: dict[str, dict] | None = None
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit both kinds on the training part and measure them on the test part."""
-    parts = settled(with_split(features, id_col))
+    parts = settled(with_split(features, id_col, label))
     train, test = parts.where(~F.col("is_test")), parts.where("is_test")
     models, measured = {}, []
     for order, kind in enumerate(KINDS):
@@ -143,7 +155,7 @@ def out_of_fold(
     features: DataFrame, id_col: str, label: str, kind: str = DEFAULT_CHAMPION, folds: int = FOLDS, **overrides
 ) -> DataFrame:
     """Every patient scored by a model that did not see that patient."""
-    folded = settled(features.withColumn("fold", fold_of(id_col, folds, SEED)))
+    folded = settled(with_folds(features, id_col, label, folds))
     scored = []
     for k in range(folds):
         model = fit(folded.where(F.col("fold") != k), label, kind, **overrides)

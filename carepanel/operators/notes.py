@@ -39,7 +39,8 @@ LENIENT_HEADERS = {
     "physical_exam": ["physical exam", "vital"],
     "laboratory_results": ["lab"],
 }
-LONGEST_HEADER = 40
+# No pattern repeats anything, so none can match more characters than it is written with.
+LONGEST_HEADER = max(len(p) for table in (SECTION_HEADERS, LENIENT_HEADERS) for patterns in table.values() for p in patterns)
 
 # Trigger phrases before an entity.
 NEGATION = [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carepanel.functions.numeric import any_true, flag, rounded, sure_flag
 
@@ -72,7 +73,9 @@ def latest_lab_values(observations: DataFrame, tie_col: str = "seq", labs: list[
     The date is compared as text; on a tie the earliest row of the feed wins. All labs come out of a
     single aggregate, so no pivot shuffle is needed.
     """
-    newest = F.struct(F.col("effective_date"), (-F.col(tie_col)).alias("feed_order"))
+    tie = observations.schema[tie_col].dataType
+    parts = [f"{tie_col}.{name}" for name in tie.names] if isinstance(tie, T.StructType) else [tie_col]
+    newest = F.struct(F.col("effective_date"), *[F.bitwise_not(part).alias(f"order_{i}") for i, part in enumerate(parts)])
     reading = F.struct("value_text", "value_num", "interpretation", "effective_date")
 
     def latest(lab: str) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from carepanel.sources.resources import only_kind
+from carepanel.functions.numeric import plain_number
+from carepanel.sources.resources import FEED, only_kind
 
 PER_PATIENT_LIMIT = 50
 MEDICATION_LIMIT = 100
@@ -82,13 +83,19 @@ def flatten_observations(observations: DataFrame) -> DataFrame:
             or_empty("valueQuantity.unit").alias("unit"),
             or_empty(interpretation).alias("interpretation"),
             or_empty("effectiveDateTime").alias("effective_date"),
+            *_feed_order(observations),
         )
     )
 
 
+def _feed_order(resources: DataFrame) -> list[Column]:
+    """The place in the export as ``seq``, where the scan has kept it."""
+    return [F.col(FEED).alias("seq")] if FEED in resources.columns else []
+
+
 def with_numeric_value(observations: DataFrame) -> DataFrame:
     """Text that reads as a number also gets a numeric column; other text stays text only."""
-    return observations.withColumn("value_num", F.expr("try_cast(value_text AS DOUBLE)"))
+    return observations.withColumn("value_num", plain_number("value_text"))
 
 
 def elapsed_days(start: Column, end: Column) -> Column:
@@ -155,7 +162,7 @@ def flatten_patients(patients: DataFrame, as_of: str) -> DataFrame:
 def condition_subjects(conditions: DataFrame) -> DataFrame:
     """Patient of every condition, coded or not: what cohort discovery looks at."""
     return only_kind(conditions, "Condition").select(
-        subject_id().alias("patient_id"), or_empty("id").alias("condition_id")
+        subject_id().alias("patient_id"), or_empty("id").alias("condition_id"), *_feed_order(conditions)
     )
 
 
@@ -175,31 +182,34 @@ def cohort_patients(patients: DataFrame, conditions: DataFrame, order_by: str, l
     return patients.join(cohort_ids(conditions, order_by, limit), "patient_id", "left_semi")
 
 
-def latest_per_patient(rows: DataFrame, date_col: str, tie_col: str, limit: int = PER_PATIENT_LIMIT) -> DataFrame:
-    """Newest ``limit`` rows per patient.
+def latest_per_patient(rows: DataFrame, date_col: str, tie_col: str, limit: int | None = PER_PATIENT_LIMIT) -> DataFrame:
+    """Newest ``limit`` rows per patient; None takes all.
 
     Spark turns ``row_number() <= k`` into a group limit that runs before the shuffle, so a patient
     with a third of all rows still sends at most k rows per input partition.
     """
+    if limit is None:
+        return rows
     newest = Window.partitionBy("patient_id").orderBy(F.col(date_col).desc_nulls_last(), F.col(tie_col).asc())
     return rows.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= limit).drop("_rank")
 
 
 def latest_observations(
-    observations: DataFrame, tie_col: str = "seq", loinc_codes: list[str] | None = None, limit: int = PER_PATIENT_LIMIT
+    observations: DataFrame, tie_col: str = "seq", loinc_codes: list[str] | None = None, limit: int | None = PER_PATIENT_LIMIT
 ) -> DataFrame:
     if loinc_codes:
         observations = observations.where(F.col("loinc_code").isin(loinc_codes))
     return latest_per_patient(observations, "effective_date", tie_col, limit)
 
 
-def latest_encounters(encounters: DataFrame, tie_col: str = "encounter_id", limit: int = PER_PATIENT_LIMIT) -> DataFrame:
+def latest_encounters(encounters: DataFrame, tie_col: str = "encounter_id", limit: int | None = PER_PATIENT_LIMIT) -> DataFrame:
     return latest_per_patient(encounters, "start_date", tie_col, limit)
 
 
-def active_medication_counts(medications: DataFrame, limit: int = MEDICATION_LIMIT) -> DataFrame:
+def active_medication_counts(medications: DataFrame, limit: int | None = MEDICATION_LIMIT) -> DataFrame:
+    count = F.count("*") if limit is None else F.least(F.count("*"), F.lit(limit))
     return (
         medications.where(F.col("status") == "active")
         .groupBy("patient_id")
-        .agg(F.least(F.count("*"), F.lit(limit)).cast("int").alias("num_active_medications"))
+        .agg(count.cast("int").alias("num_active_medications"))
     )

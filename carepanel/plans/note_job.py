@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from carepanel.operators import notes as nt
-from carepanel.sources.spread import spread_small
+
+
+def spread(notes: DataFrame) -> DataFrame:
+    """Notes dealt out evenly: annotating is far costlier than moving the text once, and row groups are uneven.
+
+    The number of partitions is left to adaptive execution, so it follows the data.
+    """
+    return notes.hint("rebalance")
 
 
 def annotated_notes(notes: DataFrame, **options) -> DataFrame:
-    return nt.annotate(spread_small(notes), **options)
+    return nt.annotate(spread(notes), **options)
 
 
 def write_annotations(notes: DataFrame, root: str, **options) -> None:

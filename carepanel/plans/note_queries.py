@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from carepanel.functions.arrays import to_rows
 from carepanel.operators import notes as nt
+from carepanel.plans.note_job import spread
 from carepanel.sources.fixture_views import view
-from carepanel.sources.spread import spread_small
 
 
 def _notes(spark, d):
-    return spread_small(view(spark, d, "notes"))
+    return spread(view(spark, d, "notes"))
 
 
 def _lower(spark, d):

@@ -29,7 +29,11 @@ TERMS = [
 ]
 
 RAW_TEXT = """
-SELECT CAST(l_orderkey AS STRING) AS encounter_id, CAST(o_custkey AS STRING) AS patient_nbr, o_orderstatus AS readmitted,
+SELECT CASE WHEN l_partkey % 3 = 0 THEN CAST(9007199254740993 + l_orderkey AS STRING) WHEN l_partkey % 3 = 1 THEN concat(' ', CAST(l_orderkey AS STRING), '.0 ')
+            ELSE CAST(l_orderkey AS STRING) END AS encounter_id,
+       CASE WHEN l_partkey % 11 = 0 THEN concat(CAST(o_custkey AS STRING), '.') ELSE CAST(o_custkey AS STRING) END AS patient_nbr, o_orderstatus AS readmitted,
+       CASE WHEN l_suppkey % 9 = 1 THEN '5d' WHEN l_suppkey % 9 = 2 THEN '0x1p3' WHEN l_suppkey % 9 = 3 THEN 'NaN' WHEN l_suppkey % 9 = 4 THEN 'Infinity' WHEN l_suppkey % 9 = 5 THEN ' 7 '
+            WHEN l_suppkey % 9 = 6 THEN '1e400' WHEN l_suppkey % 9 = 7 THEN '-.5E1' ELSE 'x' END AS num_procedures,
        CASE l_linenumber WHEN 1 THEN '?' WHEN 2 THEN '' WHEN 3 THEN concat(' ', CAST(l_partkey AS STRING)) ELSE CAST(l_quantity AS STRING) END AS number_inpatient,
        CASE WHEN l_partkey % 7 = 0 THEN '12x' ELSE CAST(l_suppkey AS STRING) END AS num_medications
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
@@ -151,16 +155,16 @@ def class_weight(spark, d):
 
 
 def fold_sizes(spark, d):
-    from carepanel.operators.modeling import fold_of
+    from carepanel.operators.modeling import with_folds
 
-    folds = _features(spark, d).withColumn("fold", fold_of(cleaning.PATIENT, 5, 42))
+    folds = with_folds(_features(spark, d).persist(), cleaning.PATIENT, cleaning.TARGET, 5, 42)
     return folds.groupBy("fold", cleaning.TARGET).agg(F.count("*").alias("patients"))
 
 
 def split_rows(spark, d):
     from carepanel.operators.modeling import with_split
 
-    return with_split(_features(spark, d), cleaning.PATIENT, 42).select(cleaning.PATIENT, "is_test")
+    return with_split(_features(spark, d).persist(), cleaning.PATIENT, cleaning.TARGET, 42).select(cleaning.PATIENT, "is_test")
 
 
 def metrics(spark, d):

@@ -6,6 +6,8 @@ Readers take the newest version with a success marker; a failed write is simply
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ def upsert_contacts(log: DataFrame, patient_ids: DataFrame, when: str) -> DataFr
 
 def read_contact_log(spark: SparkSession, root: str) -> DataFrame:
     """The newest complete version, or an empty log."""
-    versions = sorted((n for n in list_names(spark, root) if n.startswith("v")), key=lambda n: int(n[1:]), reverse=True)
+    versions = sorted((n for n in list_names(spark, root) if re.fullmatch(r"v\d+", n)), key=lambda n: int(n[1:]), reverse=True)
     for name in versions:
         if "_SUCCESS" in list_names(spark, f"{root}/{name}"):
             return usable_contacts(spark.read.schema(SCHEMA).parquet(f"{root}/{name}"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carepanel.sources.schemas import ENCOUNTER_NUMBERS, ENCOUNTER_REQUIRED
+from carepanel.functions.numeric import plain_number, whole_number
+from carepanel.sources.schemas import ENCOUNTER_IDS, ENCOUNTER_NUMBERS, ENCOUNTER_REQUIRED
 
 
 def read_encounter_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -18,9 +19,10 @@ def read_encounter_csv(spark: SparkSession, path: str, columns: list[str]) -> Da
 
 
 def coerce_numbers(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Number columns of the raw file as doubles; text that is no number becomes null."""
+    """Ids of the raw file as bigint, its other number columns as doubles; text that is no number becomes null."""
     present = [c for c in columns or ENCOUNTER_NUMBERS if c in raw.columns]
-    return raw.withColumns({c: F.expr(f"try_cast(trim(`{c}`) AS DOUBLE)") for c in present})
+    read = lambda c: whole_number if c in ENCOUNTER_IDS else plain_number
+    return raw.withColumns({c: read(c)(F.col(f"`{c}`")) for c in present})
 
 
 def load_encounters(

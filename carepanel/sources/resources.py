@@ -9,24 +9,31 @@ from carepanel.functions.arrays import computed_once
 from carepanel.sources.schemas import CORRUPT, resource_schema
 
 
+FEED = "feed"
+
+
 def read_resources(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Scan an NDJSON export of one resource type with its declared schema.
 
-    Lines that are not JSON arrive with ``_corrupt_record`` set; see ``split_corrupt``.
+    Lines are read as text and parsed with the whole schema, so that whether a line is broken does not depend on
+    the columns that a later step asks for. Broken ones have ``_corrupt_record`` set; see ``split_corrupt``. ``feed`` is
+    the place of the line in the export: file (in an order fixed by a hash of the names), begin of the read block, and
+    a number that rises within the block. It does not depend on how blocks are packed into tasks.
     """
-    return (
-        spark.read.schema(resource_schema(kind))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
+    place = F.struct(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
     )
+    lines = spark.read.text(path).select("value", place.alias(FEED)).where(F.trim("value") != "")
+    return parse_resources(lines, kind, keep=(FEED,))
 
 
-def parse_resources(lines: DataFrame, kind: str, column: str = "value") -> DataFrame:
-    """The same scan for resources already held as a text column (a queue or a landing table)."""
+def parse_resources(lines: DataFrame, kind: str, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same for resources already held as a text column (a queue or a landing table)."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(F.col(column), resource_schema(kind), options)
-    return computed_once(lines, parsed, "r").select("r.*")
+    return computed_once(lines, parsed, "r").select(*keep, "r.*")
 
 
 def only_kind(resources: DataFrame, kind: str) -> DataFrame:

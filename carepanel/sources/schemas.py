@@ -9,7 +9,7 @@ CORRUPT = "_corrupt_record"
 _SUBJECT = "subject STRUCT<reference: STRING>"
 _CODINGS = "code STRUCT<coding: ARRAY<STRUCT<code: STRING, display: STRING, system: STRING>>>"
 
-# One nested schema per resource type; a wrong or missing field is null, a broken line is kept aside.
+# One nested schema per resource type; a missing field is null, a line that is no JSON or does not fit is kept aside.
 RESOURCE_DDL = {
     "Patient": (
         "id STRING, resourceType STRING, name ARRAY<STRUCT<family: STRING, given: ARRAY<STRING>>>, "
@@ -58,4 +58,5 @@ ENCOUNTER_NUMBERS = [
     "number_diagnoses",
 ]
 
+ENCOUNTER_IDS = ["encounter_id", "patient_nbr"]
 ENCOUNTER_REQUIRED = ["encounter_id", "patient_nbr", "readmitted"]

@@ -8,13 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only where none is configured (tests)."""
+    """The cluster's shared checkpoint folder, from ``spark.checkpoint.dir`` or as already set on the context.
+
+    Local mode, where driver and executors are one process, may do without: it gets a folder of its own. Anywhere
+    else a missing setting is an error, as executors would write to disks that nobody else reads.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    folder = configured or tempfile.mkdtemp(prefix="checkpoints-")
+    if not configured:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="checkpoints-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+        context.setCheckpointDir(configured)
+    return configured
 
 
 def settled(df: DataFrame) -> DataFrame:

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carepanel.operators.panel_risk import RISK_TIERS
+from carepanel.sources.scratch import settled
 
 LATEST = "LATEST"
+# Quotes are doubled, white space stays, and an empty text is written as "" while null is nothing.
+CSV = {"header": True, "escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -29,16 +32,15 @@ def next_version(spark: SparkSession, root: str, prefix: str = "v") -> int:
 
 
 def write_versioned(df: DataFrame, root: str) -> str:
-    """Write snapshot ``v###`` (never overwritten) and refresh the LATEST copy from it.
+    """Write snapshot ``v###`` (never overwritten) and refresh the LATEST copy.
 
-    LATEST is copied from the finished snapshot, so the query runs once and a lost executor cannot
-    leave the two different.
+    Both come from rows that are stored once, so a lost executor cannot leave the two different, and no text
+    goes through a CSV reader on the way.
     """
-    spark = df.sparkSession
-    target = f"{root}/v{next_version(spark, root):03d}"
-    df.write.mode("errorifexists").option("header", True).csv(target)
-    snapshot = spark.read.schema(df.schema).option("header", True).csv(target)
-    snapshot.write.mode("overwrite").option("header", True).csv(f"{root}/{LATEST}")
+    target = f"{root}/v{next_version(df.sparkSession, root):03d}"
+    rows = settled(df)
+    rows.write.mode("errorifexists").options(**CSV).csv(target)
+    rows.write.mode("overwrite").options(**CSV).csv(f"{root}/{LATEST}")
     return target
 
 
@@ -46,14 +48,22 @@ def write_tables(tables: dict[str, DataFrame], root: str, fmt: str = "csv", skip
     """Write each table under its own directory; optionally leave out tables without rows."""
     written = []
     for name, df in tables.items():
-        if skip_empty and df.isEmpty():
-            continue
-        writer = df.write.mode("overwrite")
-        (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(f"{root}/{name}")
+        writer, path = df.write.mode("overwrite"), f"{root}/{name}"
+        (writer.options(**CSV).csv if fmt == "csv" else writer.parquet)(path)
+        if skip_empty:  # what was written tells; the query does not run twice
+            reader = df.sparkSession.read.schema(df.schema)
+            if (reader.options(header=True, multiLine=True, escape='"').csv(path) if fmt == "csv" else reader.parquet(path)).isEmpty():
+                _delete(df.sparkSession, path)
+                continue
         written.append(name)
     return written
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = _hadoop_path(spark, path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def population_snapshot(panel: DataFrame, gap_totals: DataFrame, measure_table: DataFrame, generated_at: str) -> DataFrame:
     """One nested row: panel size, tier counts, gap totals and the ten measure records."""
     tiers = [x for t in RISK_TIERS for x in (F.lit(t), F.count_if(F.col("risk_tier") == t))]

@@ -67,7 +67,8 @@ F_ = f"WITH {ADM}, {NULLED}, {KEPT}, {FIRST}, {CLEAN}, {FEATURES} "
 S_ = f"WITH {SCO}, {SCORED} "
 FS_ = f"WITH {ADM}, {NULLED}, {KEPT}, {FIRST}, {CLEAN}, {FEATURES}, {SCO}, {SCORED} "
 
-_FOLD = "CAST((('0x' || substr(md5(concat(CAST(patient_nbr AS STRING), ':42')), 1, 8))::BIGINT) % 5 AS INT)"
+_DIGEST = "(('0x' || substr(md5(concat(CAST(patient_nbr AS STRING), ':42')), 1, 8))::BIGINT)"
+FOLDED = f"""folded AS (SELECT *, CAST((row_number() OVER (PARTITION BY readmit_30d ORDER BY {_DIGEST} % 4096, {_DIGEST}, patient_nbr) - 1) % 5 AS INT) AS fold FROM feats)"""
 
 
 def metrics_sql(src, label="y_true", pred="p >= 0.5", extra="", group=""):
@@ -91,8 +92,8 @@ def full_metrics(inner, cols=""):
       CAST(0.5 AS DOUBLE) AS threshold FROM {inner}"""
 
 
-_BASE_SRC = "(SELECT round_even(probability, 4) AS p, y_true AS y, subgroup FROM fx_scores)"
-_FLAT_SRC = "(SELECT round_even(probability * probability / 2 + CAST(0.25 AS DOUBLE), 4) AS p, y_true AS y, subgroup FROM fx_scores)"
+_BASE_SRC = "(SELECT probability AS p, y_true AS y, subgroup FROM fx_scores)"
+_FLAT_SRC = "(SELECT probability * probability / 2 + CAST(0.25 AS DOUBLE) AS p, y_true AS y, subgroup FROM fx_scores)"
 MODELS = f"""models AS ({full_metrics(metrics_sql(_BASE_SRC), "'logreg' AS model,")} UNION ALL {full_metrics(metrics_sql(_FLAT_SRC), "'gbm' AS model,")})"""
 CHAMP = "champ AS (SELECT model FROM models ORDER BY pr_auc DESC, model DESC LIMIT 1)"
 
@@ -200,7 +201,9 @@ E_ = f"WITH {SCO}, {SCORED}, {LOG}, {STATUS} "
 _EXPORT = "patient_id, risk_score, tier, top_3_risk_factors, probability, predicted_label"
 
 CHECKS = {
-    "d02_numeric_coercion": """SELECT CAST(l_orderkey AS DOUBLE) AS encounter_id, CAST(o_custkey AS DOUBLE) AS patient_nbr, o_orderstatus AS readmitted,
+    "d02_numeric_coercion": """SELECT CASE WHEN l_partkey % 3 = 0 THEN 9007199254740993 + l_orderkey ELSE l_orderkey END AS encounter_id,
+        o_custkey AS patient_nbr, o_orderstatus AS readmitted,
+        CASE l_suppkey % 9 WHEN 5 THEN CAST(7 AS DOUBLE) WHEN 7 THEN CAST(-5 AS DOUBLE) END AS num_procedures,
         CASE WHEN l_linenumber <= 2 THEN NULL WHEN l_linenumber = 3 THEN CAST(l_partkey AS DOUBLE) ELSE l_quantity END AS number_inpatient,
         CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE CAST(l_suppkey AS DOUBLE) END AS num_medications FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "d04_d06_d08_caps_on_all_rows": f"WITH {ADM}, {NULLED}, {KEPT} SELECT encounter_id, max_glu_serum, {_cap('kept', 0.9)} FROM kept",
@@ -225,12 +228,12 @@ CHECKS = {
     "d22_diagnosis_counts": F_ + "SELECT diag_1_group, count(*) AS patients FROM feats GROUP BY 1",
     "d22_score_histogram": S_ + """SELECT tier, least(CAST(floor((risk_score - lo) * 40 / CAST(hi - lo AS DOUBLE)) AS BIGINT), 39) AS bin, count(*) AS patients FROM (
         SELECT *, min(risk_score) OVER (PARTITION BY tier) AS lo, max(risk_score) OVER (PARTITION BY tier) AS hi FROM sc) GROUP BY 1, 2""",
-    "d23_split": F_ + f"SELECT patient_nbr, {_FOLD} = 0 AS is_test FROM feats",
+    "d23_split": F_ + f", {FOLDED} SELECT patient_nbr, fold = 0 AS is_test FROM folded",
     "d27_class_weight": F_ + "SELECT round_even(CAST(count(*) FILTER (WHERE readmit_30d = 0) AS DOUBLE) / count(*) FILTER (WHERE readmit_30d = 1), 4) AS scale_pos_weight FROM feats",
     "d28_d31_metrics": f"WITH {SCO}, {MODELS} SELECT * FROM models",
     "d28_d31_metrics_by_group": f"WITH {SCO} " + full_metrics(metrics_sql(_BASE_SRC, group="subgroup"), "subgroup,"),
     "d32_champion": f"WITH {SCO}, {MODELS}, {CHAMP} SELECT model AS champion FROM champ",
-    "d34_fold_sizes": F_ + f"SELECT {_FOLD} AS fold, readmit_30d, count(*) AS patients FROM feats GROUP BY 1, 2",
+    "d34_fold_sizes": F_ + f", {FOLDED} SELECT fold, readmit_30d, count(*) AS patients FROM folded GROUP BY 1, 2",
     "d35_d38_d41_scores": S_ + "SELECT patient_id, round_even(probability, 4) AS probability, risk_score, tier, predicted_label FROM sc",
     "d36_tier_cuts": S_ + "SELECT quantile_cont(CAST(risk_score AS DOUBLE), 0.5) AS medium_cut, quantile_cont(CAST(risk_score AS DOUBLE), 0.8) AS high_cut FROM sc",
     "d37_supplied_cuts": S_ + "SELECT CASE WHEN risk_score >= 75 THEN 'High' WHEN risk_score >= 40 THEN 'Medium' ELSE 'Low' END AS tier, count(*) AS patients FROM sc GROUP BY 1",

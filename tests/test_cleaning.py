@@ -77,10 +77,10 @@ def test_csv_source_is_text_until_coerced(spark, tmp_path):
     text = read_encounter_csv(spark, str(path), names)
     assert {t for _, t in text.dtypes} == {"string"}
     typed = load_encounters(spark, str(path), lambda s, p: read_encounter_csv(s, p, names))
-    assert rows(typed, "encounter_id", "num_medications") == [(1.0, None), (2.0, None), (3.0, 7.0)]
+    assert rows(typed, "encounter_id", "num_medications") == [(1, None), (2, None), (3, 7.0)]
     with pytest.raises(ValueError, match="readmitted"):
         load_encounters(spark, str(path), lambda s, p: text.drop("readmitted"))
-    assert coerce_numbers(text).schema["patient_nbr"].dataType.simpleString() == "double"
+    assert coerce_numbers(text).schema["patient_nbr"].dataType.simpleString() == "bigint"
 
 
 def test_first_encounter_under_one_dominant_patient(spark):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from carepanel.operators import notes as nt
 from carepanel.plans import note_job
-from carepanel.sources.spread import spread_small
 
 NOTE = """Seen by Dr. Example
 CHIEF COMPLAINT:
@@ -152,9 +151,9 @@ def test_social_anchors_change_no_result(spark):
         assert got[i] == [c for c, ps in nt.SOCIAL_PATTERNS.items() if any(re.search(p, text.lower()) for p in ps)], text
 
 
-def test_only_small_inputs_are_spread(note):
-    assert spread_small(note).rdd.getNumPartitions() > 1
-    assert spread_small(note, limit=1) is note
+def test_no_header_pattern_can_match_more_than_the_longest_header():
+    assert nt.LONGEST_HEADER >= len("assessment and plan")
+    assert not any(re.search(r"[*+{]", p) for table in (nt.SECTION_HEADERS, nt.LENIENT_HEADERS) for ps in table.values() for p in ps)
 
 
 def test_note_job(spark, note, annotated, tmp_path):

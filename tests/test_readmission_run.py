@@ -39,6 +39,6 @@ def test_unseen_levels_and_missing_values(spark, sf_dir):
 
 def test_split_is_stable_and_about_a_fifth(spark):
     ids = spark.range(5000).withColumnRenamed("id", "patient_nbr")
-    first, second = (rows(modeling.with_split(x, "patient_nbr")) for x in (ids, ids.repartition(7)))
+    first, second = (rows(modeling.with_split(x, "patient_nbr", "label")) for x in (ids, ids.repartition(7)))
     assert first == second
     assert 850 < sum(t for _, t in first) < 1150

@@ -42,10 +42,25 @@ def observation(i, value, date, code="4548-4", system=LOINC, interpretation=None
 
 def test_scan_keeps_broken_records_aside(spark, tmp_path):
     path = export(tmp_path, "c", [condition(1, ["E11"]), '{"resourceType": "Cond', {"resourceType": "Patient", "id": "p"}])
-    good, bad = split_corrupt(read_resources(spark, path, "Condition").cache())
+    good, bad = split_corrupt(read_resources(spark, path, "Condition"))
     assert good.count() == 2 and rows(bad) == [('{"resourceType": "Cond',)]
 
 
+def test_a_quarantined_line_is_nowhere_else(spark, tmp_path):
+    wrong = dict(condition(2, ["I10"], "Patient/p2"), code="text")
+    scan = read_resources(spark, export(tmp_path, "c", [condition(1, ["E11"]), wrong, condition(3, [], "Patient/p3")]), "Condition")
+    assert [r.patient_id for r in rs.condition_subjects(scan).orderBy("seq").collect()] == ["p1", "p3"]
+    assert rows(rs.flatten_conditions(scan), "patient_id") == [("p1",)]
+    assert split_corrupt(scan)[1].count() == 1
+
+
+def test_numbers_are_plain_decimals(spark):
+    texts = ["5d", "7.1F", "0x1p3", "NaN", "Infinity", " 7 ", "1e400", "-.5E1", "12.", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "value_text string")
+    got = {r.value_text: r.value_num for r in rs.with_numeric_value(df).collect()}
+    assert {t: v for t, v in got.items() if v is not None} == {" 7 ": 7.0, "-.5E1": -5.0, "12.": 12.0}
+
+
 def test_conditions_one_row_per_coding(spark, tmp_path):
     records = [
         condition(1, []),
@@ -145,6 +160,13 @@ def test_run_from_exports(spark, tmp_path):
         "Encounter": export(tmp_path, "e", encounters),
         "MedicationRequest": export(tmp_path, "m", meds),
     }
+    snapshot = resource_job.run(spark, paths, str(tmp_path / "job"), "2024-04-01", per_patient=None, medication_limit=None)
+    stored = spark.read.parquet(str(tmp_path / "job" / "features"))
+    assert snapshot.endswith("v001") and stored.count() == 3
+    assert rows(spark.read.text(str(tmp_path / "job" / "quarantine" / "Condition"))) == [("broken",)]
+    assert spark.read.option("header", True).csv(str(tmp_path / "job" / "quality" / "validity")).count() == 3
+    first = resource_job.run_from_exports(spark, paths, "2024-04-01", cohort_size=1)
+    assert [r.state for r in first.collect()] == ["MA"]
     out = resource_job.run_from_exports(spark, paths, "2024-04-01")
     assert out.columns == [*privacy.SAFE_COLUMNS, "risk_score", "risk_tier"] and len(privacy.SAFE_COLUMNS) == 44
     assert not privacy.PHI_COLUMNS & set(out.columns)

@@ -1,6 +1,7 @@
 """Scores, curves, fairness, care plans and outreach against brute force on small tables."""
 
 import random
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -182,3 +183,10 @@ def test_versioned_sink(spark, tmp_path):
     assert sinks.write_versioned(df.where("i = 2"), root).endswith("v002")
     read = lambda name: spark.read.option("header", True).csv(f"{root}/{name}").count()
     assert (read("v001"), read("v002"), read("LATEST")) == (2, 1, 1)
+    odd = [(1, "a\nb"), (2, 'say "hi", ok'), (3, ""), (4, None), (5, " sp "), (6, "back\\slash")]
+    snapshot = sinks.write_versioned(spark.createDataFrame(odd, "i int, s string"), root)
+    files = lambda path: sorted(p.read_text() for p in Path(path).glob("part-*"))
+    assert files(snapshot) == files(f"{root}/LATEST")
+    options = {"header": True, "multiLine": True, "escape": '"', "nullValue": "\\N"}
+    back = {int(r.i): r.s for r in spark.read.options(**options).csv(f"{root}/LATEST").collect()}
+    assert back[1] == "a\nb" and back[2] == 'say "hi", ok' and back[5] == " sp " and back[6] == "back\\slash" and back[3] == ""
