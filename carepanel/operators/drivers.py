@@ -117,16 +117,19 @@ def contribution_rows(explained: DataFrame, id_col: str) -> DataFrame:
     return explained.select(id_col, F.inline("contributions")).select(id_col, "feature", F.col("value").alias("contribution"))
 
 
-def top_factors(explained: DataFrame, id_col: str, k: int = 3) -> DataFrame:
-    """The k largest positive contributions as one phrase per patient."""
+def top_phrases(k: int = 3) -> Column:
+    """The k largest positive contributions of a row as one phrase."""
     positive = F.filter("contributions", lambda c: c["value"] > 0)
     ranked = F.array_sort(
         F.transform(positive, lambda c, i: F.struct((-c["value"]).alias("order"), i.alias("i"), c["phrase"].alias("phrase")))
     )
     phrases = F.array_join(F.transform(F.slice(ranked, 1, k), lambda c: c["phrase"]), "; ")
-    return explained.select(
-        id_col, F.when(F.size(positive) > 0, phrases).otherwise(NO_FACTORS).alias("top_3_risk_factors")
-    )
+    return F.when(F.size(positive) > 0, phrases).otherwise(NO_FACTORS)
+
+
+def top_factors(explained: DataFrame, id_col: str, k: int = 3) -> DataFrame:
+    """The k largest positive contributions as one phrase per patient."""
+    return explained.select(id_col, top_phrases(k).alias("top_3_risk_factors"))
 
 
 def global_importance(explained: DataFrame, terms: list[LinearTerm], top_n: int = 12) -> DataFrame:

@@ -152,14 +152,14 @@ def compare_models(
 
 
 def out_of_fold(
-    features: DataFrame, id_col: str, label: str, kind: str = DEFAULT_CHAMPION, folds: int = FOLDS, **overrides
+    features: DataFrame, id_col: str, label: str, kind: str = DEFAULT_CHAMPION, folds: int = FOLDS, keep: tuple[str, ...] = (), **overrides
 ) -> DataFrame:
-    """Every patient scored by a model that did not see that patient."""
+    """Every patient scored by a model that did not see that patient; ``keep`` names columns to carry along."""
     folded = settled(with_folds(features, id_col, label, folds))
     scored = []
     for k in range(folds):
         model = fit(folded.where(F.col("fold") != k), label, kind, **overrides)
-        scored.append(predict(model, folded.where(F.col("fold") == k), [id_col, label, "fold"]))
+        scored.append(predict(model, folded.where(F.col("fold") == k), [id_col, label, "fold", *keep]))
     return reduce(DataFrame.unionByName, scored)
 
 

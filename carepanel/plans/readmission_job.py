@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from carepanel.operators import bi_export, cleaning, curves, drivers, fairness, modeling, scoring
 from carepanel.operators import encounter_features as ef
 from carepanel.sources import sinks
+from carepanel.sources.encounters import coerce_numbers
+from carepanel.sources.schemas import ENCOUNTER_NUMBERS
+from carepanel.sources.scratch import settled
 
 PATIENT, TARGET = cleaning.PATIENT, cleaning.TARGET
 
@@ -15,22 +18,25 @@ PATIENT, TARGET = cleaning.PATIENT, cleaning.TARGET
 def scored_patients(features: DataFrame, kind: str, explain_with: modeling.PipelineModel, **overrides) -> DataFrame:
     """Out-of-fold scores with tiers and the top risk factors of every patient.
 
-    Factors are the exact contributions of the logistic model, whichever model gave the score.
+    Factors are the exact contributions of the logistic model, whichever model gave the score. They are made in the
+    pass that scores a row and stored with the prediction, so the tier cuts read stored rows and nothing is joined.
     """
-    predicted = modeling.out_of_fold(features, PATIENT, TARGET, kind, **overrides)
-    scores = scoring.score_frame(predicted.select(F.col(PATIENT).alias("patient_id"), "probability"))
     terms = modeling.linear_terms(explain_with, features)
-    factors = drivers.top_factors(drivers.with_contributions(features, terms), PATIENT)
-    return scores.join(factors.withColumnRenamed(PATIENT, "patient_id"), "patient_id", "left")
+    explained = drivers.with_contributions(features, terms).withColumn("top_3_risk_factors", drivers.top_phrases())
+    predicted = modeling.out_of_fold(explained.drop("contributions"), PATIENT, TARGET, kind, keep=("top_3_risk_factors",), **overrides)
+    return scoring.score_frame(settled(predicted.select(F.col(PATIENT).alias("patient_id"), "probability", "top_3_risk_factors")))
 
 
 def run(raw: DataFrame, root: str, options: dict[str, dict] | None = None) -> list[str]:
     """Run everything and write it under ``root``. ``options`` overrides estimator parameters by kind.
 
+    Number columns that are still text, as in the raw file, are read as numbers first.
+
     Features and scores are written once and read back, since every later step scans them again.
     """
     spark = raw.sparkSession
     options = options or {}
+    raw = coerce_numbers(raw, [c for c, kind in raw.dtypes if kind == "string" and c in ENCOUNTER_NUMBERS])
     # Caps and frequent levels are aggregates over the deduplicated rows. Storing those rows means the
     # shuffle by patient happens once, not once more per aggregate.
     cleaning.usable_first_encounters(raw).write.mode("overwrite").parquet(f"{root}/first_encounters")
@@ -52,7 +58,9 @@ def run(raw: DataFrame, root: str, options: dict[str, dict] | None = None) -> li
     scores = spark.read.parquet(f"{root}/scores")
 
     labelled = curves.scores_with_labels(scores, features, PATIENT, TARGET)
-    subgroups = fairness.subgroup_metrics(fairness.audit_frame(features, scores, PATIENT, TARGET), fairness.ATTRIBUTES)
+    audited = fairness.audit_frame(features, scores, PATIENT, TARGET)
+    fairness.subgroup_metrics(audited, fairness.ATTRIBUTES).write.mode("overwrite").parquet(f"{root}/subgroups")
+    subgroups = spark.read.parquet(f"{root}/subgroups")
     terms = modeling.linear_terms(models["logreg"], features)
     wide = bi_export.patient_level(scores, features, PATIENT, TARGET)
     fairness.report(subgroups).write.mode("overwrite").json(f"{root}/fairness_report")

@@ -20,7 +20,9 @@ def read_encounter_csv(spark: SparkSession, path: str, columns: list[str]) -> Da
 
 def coerce_numbers(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Ids of the raw file as bigint, its other number columns as doubles; text that is no number becomes null."""
-    present = [c for c in columns or ENCOUNTER_NUMBERS if c in raw.columns]
+    present = [c for c in (ENCOUNTER_NUMBERS if columns is None else columns) if c in raw.columns]
+    if not present:
+        return raw
     read = lambda c: whole_number if c in ENCOUNTER_IDS else plain_number
     return raw.withColumns({c: read(c)(F.col(f"`{c}`")) for c in present})
 

@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB twin; the others must run and give rows."""
+"""Every registered query against its DuckDB twin; those without one must run and give rows."""
 
 import pytest
 from compare import compare
@@ -6,10 +6,14 @@ from compare import compare
 import __spark_entry__ as entry
 
 QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
-SLOW = {"d23_d26_model_metrics", "d34_out_of_fold", "d34_out_of_fold_boosted", "d45_model_top_factors"}
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) & set(CHECKS) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(CHECKS)))
+def test_runs_and_gives_rows(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) & set(CHECKS)))
 def test_matches_duckdb(spark, sf_dir, name):
     n, problems = compare(spark, sf_dir, QUERIES[name], CHECKS[name])
     assert not problems, problems

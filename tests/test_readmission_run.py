@@ -3,6 +3,7 @@
 import json
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from carepanel.operators import cleaning, modeling
 from carepanel.operators import encounter_features as ef
@@ -14,7 +15,9 @@ SHORT = {"logreg": {"maxIter": 20}, "gbm": {"maxIter": 2}}
 
 def test_run_writes_every_table(spark, sf_dir, tmp_path):
     root = str(tmp_path)
-    written = readmission_job.run(view(spark, sf_dir, "admissions"), root, SHORT)
+    raw = view(spark, sf_dir, "admissions")
+    as_text = raw.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns))  # as in the raw file
+    written = readmission_job.run(as_text, root, SHORT)
     assert "patient_risk_scores" in written and "bi/patient_level" in written
     features, scores = spark.read.parquet(f"{root}/features"), spark.read.parquet(f"{root}/scores")
     assert scores.count() == features.count() == scores.select("patient_id").distinct().count()
@@ -38,7 +41,11 @@ def test_unseen_levels_and_missing_values(spark, sf_dir):
 
 
 def test_split_is_stable_and_about_a_fifth(spark):
-    ids = spark.range(5000).withColumnRenamed("id", "patient_nbr")
+    ids = spark.range(5000).selectExpr("id AS patient_nbr", "CAST(id % 11 = 0 AS INT) AS label")
     first, second = (rows(modeling.with_split(x, "patient_nbr", "label")) for x in (ids, ids.repartition(7)))
     assert first == second
-    assert 850 < sum(t for _, t in first) < 1150
+    folds = modeling.with_folds(ids, "patient_nbr", "label").groupBy("label", "fold").count().collect()
+    for label in (0, 1):
+        sizes = [r["count"] for r in folds if r.label == label]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    assert abs(sum(t for *_, t in first) - 1000) <= 2
