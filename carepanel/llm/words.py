@@ -15,7 +15,7 @@ import numpy as np
 NOT_WHITE = re.compile("[\x1c-\x1f]")
 SPLIT = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 PIECE_CHARS = 1 << 20
-MOST_WORDS = 600_000
+MOST_WORDS = 700_000
 
 
 def split_words(text: str) -> list[str]:
