@@ -9,10 +9,11 @@ import __spark_entry__ as entry
 from carepanel.operators import cleaning, measures
 from carepanel.operators import resources as rs
 from carepanel.operators.panel_risk import derive_panel_columns
+from carepanel.plans.catalog import all_queries
 from carepanel.plans.model_queries import QUERIES as MODEL_QUERIES
 from carepanel.sources.fixture_views import view
 
-NAMES = sorted(set(entry.queries()) - set(MODEL_QUERIES))
+NAMES = sorted(set(all_queries()) - set(MODEL_QUERIES))
 
 
 def plan(df) -> str:
@@ -57,3 +58,12 @@ def test_measures_take_one_pass(spark, sf_dir):
 def test_scans_read_only_needed_columns(spark, sf_dir):
     text = plan(entry.queries()["c51_intervention_targets"](spark, sf_dir))
     assert "ReadSchema: struct<c_custkey:bigint>" in text
+
+
+def test_cleaned_rows_are_kept_for_caps_and_levels(spark, sf_dir):
+    spark.catalog.clearCache()
+    features = entry.queries()["d21_feature_table"](spark, sf_dir)
+    features.count()
+    text = plan(features)
+    above = text.split("InMemoryRelation")[0]
+    assert "InMemoryTableScan" in above and "Scan parquet" not in above
