@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 from carepanel.llm.shared import stored
 
 VARIABLE = "<*>"
+SIEVE = 1 << 18
 
 
 def masked_line(line: Column) -> Column:
     """The line with single spaces between tokens and tokens that hold a digit made variable."""
-    even = F.trim(F.regexp_replace(line, r"[ \t\r\f\x0b]+", " "))
+    uneven = line.startswith(" ") | line.endswith(" ")
+    for white in ("  ", "\t", "\r", "\f", "\x0b"):
+        uneven = uneven | line.contains(white)
+    even = F.when(uneven, F.trim(F.regexp_replace(line, r"[ \t\r\f\x0b]+", " "))).otherwise(line)
     # only token starts can match, so a long unbroken string costs one pass
     return F.when(even.rlike("[0-9]"), F.regexp_replace(even, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", VARIABLE)).otherwise(even)
 
@@ -29,20 +33,22 @@ def _digest(text: Column) -> Column:
 
 def _lines(docs: DataFrame, depth: int, least_tokens: int) -> DataFrame:
     """key, first_id, form, leaf, masked: a row per line that has enough tokens."""
-    exploded = docs.select("key", "id", F.explode(F.split("text", "\n")).alias("line"))
-    masked = exploded.select("key", "id", masked_line(F.col("line")).alias("masked"))
-    tokens = masked.withColumn("tokens", F.split("masked", " ")).where(F.size("tokens") >= least_tokens)
-    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))
-    return tokens.select("key", "id", _digest(F.col("masked")).alias("form"), leaf.alias("leaf"), "masked")
+    # masked inside the generator: the optimizer copies a plain expression into every later use of its column
+    masked = docs.select("key", "id", F.explode(F.transform(F.split("text", "\n"), masked_line)).alias("masked"))
+    n_tokens = F.octet_length("masked") - F.octet_length(F.replace(F.col("masked"), F.lit(" "), F.lit(""))) + 1
+    leaf = F.xxhash64(n_tokens, F.substring_index("masked", " ", depth))
+    return masked.where(n_tokens >= least_tokens).select("key", "id", _digest(F.col("masked")).alias("form"), leaf.alias("leaf"), "masked")
 
 
 def _generalised(lines: DataFrame, found: DataFrame, depth: int, min_docs: int, similarity: float) -> DataFrame:
     """form, template for the lines that share a leaf with others and are constant in ``similarity`` of their later tokens."""
     busy = found.groupBy("leaf").agg(F.count("*").alias("n"), F.min("form").alias("one"), F.max("form").alias("other"))
-    busy = busy.where((F.col("n") >= min_docs) & (F.col("one") != F.col("other"))).select("leaf")
+    busy = stored(busy.where((F.col("n") >= min_docs) & (F.col("one") != F.col("other"))).select("leaf"), "leaves")
     weights = found.join(busy, "leaf", "left_semi").groupBy("form").agg(F.count("*").alias("n"))
-    texts = lines.select("form", "leaf", "masked").join(busy, "leaf", "left_semi")
-    texts = texts.groupBy("form").agg(F.first("leaf").alias("leaf"), F.first("masked").alias("masked"))
+    # a first sieve by hash keeps most text out of the shuffle; at most SIEVE slots are broadcast
+    slot = F.pmod(F.col("leaf"), F.lit(SIEVE)).cast("int").alias("slot")
+    texts = lines.select("form", "leaf", "masked", slot).join(F.broadcast(busy.select(slot).distinct()), "slot", "left_semi")
+    texts = texts.join(busy, "leaf", "left_semi").groupBy("form").agg(F.first("leaf").alias("leaf"), F.first("masked").alias("masked"))
     tokens = stored(texts.join(weights, "form").select("form", "leaf", "n", F.posexplode(F.split("masked", " ")).alias("pos", "token")), "tokens")
     # the first tokens are those of the leaf and constant anyway
     later = tokens.where(F.col("pos") >= depth)
