@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carepanel.llm.shared import ship_package
@@ -51,14 +51,19 @@ def pair_counts(token: str) -> np.ndarray:
 
 
 class MarkovPair:
-    """Log-likelihood ratio per character of the random-string model over the identifier model."""
+    """Log-likelihood ratio per character of the random-string model over the identifier model.
+
+    A state seen rarely falls back on how often each character occurs at all in its model.
+    """
 
     def __init__(self, random_counts: np.ndarray, plain_counts: np.ndarray, smoothing: float = 0.5):
         self.ratio = self._log(random_counts, smoothing) - self._log(plain_counts, smoothing)
 
     @staticmethod
     def _log(counts: np.ndarray, smoothing: float) -> np.ndarray:
-        table = counts.reshape(CLASSES + 1, CLASSES) + smoothing
+        table = counts.reshape(CLASSES + 1, CLASSES)
+        overall = table.sum(axis=0) + smoothing
+        table = table + 4 * overall / overall.sum()
         return np.log(table / table.sum(axis=1, keepdims=True)).ravel()
 
     def score(self, token: str) -> float:
@@ -80,7 +85,7 @@ def labelled_tokens(text: str) -> Iterator[tuple[str, bool]]:
             yield m[0], False
 
 
-def train_markov(docs: DataFrame, per_label: int = 20_000, text_col: str = "text") -> MarkovPair:
+def train_markov(docs: DataFrame, per_label: int = 5_000, text_col: str = "text") -> MarkovPair:
     """Both models, from a bounded labelled sample: ``per_label`` distinct tokens of each label at most.
 
     The sample holds the tokens with the smallest hashes, so it depends neither on row order nor on partitioning.
@@ -113,12 +118,11 @@ def train_markov(docs: DataFrame, per_label: int = 20_000, text_col: str = "text
         )
 
     found = docs.select(F.col(text_col).cast("string")).mapInArrow(tokens, "token string, random boolean, hash long").distinct()
-    counts = {}
-    for label in (True, False):
-        sample = found.where(F.col("random") == label).orderBy("hash", "token").limit(per_label).select("token").toPandas()
-        counts[label] = np.zeros((CLASSES + 1) * CLASSES)
-        for token in sample["token"]:
-            np.add.at(counts[label], pair_counts(token), 1)
+    first = Window.partitionBy("random").orderBy("hash", "token")
+    sample = found.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_label).select("token", "random")
+    counts = {label: np.zeros((CLASSES + 1) * CLASSES) for label in (True, False)}
+    for token, random in sample.collect():  # 2 * per_label rows at most
+        np.add.at(counts[random], pair_counts(token), 1)
     return MarkovPair(counts[True], counts[False])
 
 
