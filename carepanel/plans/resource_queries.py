@@ -95,19 +95,20 @@ def _patients(spark: SparkSession, d: str) -> DataFrame:
     return p.withColumn("age", rs.age_in_years(F.col("birth_date"), F.lit(AS_OF).cast("date"))).drop("birth_date")
 
 
-def _features(spark: SparkSession, d: str) -> DataFrame:
+def _features(spark: SparkSession, d: str, **limits: int | None) -> DataFrame:
     return resource_job.patient_feature_table(
         _patients(spark, d),
         view(spark, d, "conditions"),
         rs.with_numeric_value(view(spark, d, "observations")),
         view(spark, d, "encounters"),
         view(spark, d, "medications"),
+        **limits,
     )
 
 
-def patient_features(spark, d):
+def patient_features(spark, d, **limits):
     return nullable_numbers(
-        _features(spark, d), *NULLABLE_LAB_FLAGS, "long_stay_history", "uncontrolled_diabetes", "heart_failure_with_anemia"
+        _features(spark, d, **limits), *NULLABLE_LAB_FLAGS, "long_stay_history", "uncontrolled_diabetes", "heart_failure_with_anemia"
     )
 
 
@@ -221,6 +222,7 @@ QUERIES = {
     "a16_demographic_flags": demographic_flags,
     "a20_encounter_use": encounter_use,
     "a19_a21_a24_a31_a32_patient_features": patient_features,
+    "a22_patient_features_of_all_records": lambda s, d: patient_features(s, d, per_patient=None, medication_limit=None),
     "a23_pseudonyms": pseudonyms,
     "a26_completeness": lambda s, d: quality.completeness(_features(s, d)),
     "a27_validity": lambda s, d: quality.validity(_features(s, d)),

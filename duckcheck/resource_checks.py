@@ -170,6 +170,8 @@ CHECKS = {
     "a20_encounter_use": _with("encounters", extra=[ENC]) + f"SELECT {doubles('long_stay_history')} FROM encf",
     "a19_a21_a24_a31_a32_patient_features": ALL
     + f"SELECT {doubles(*LAB_FLAGS, 'long_stay_history', 'uncontrolled_diabetes', 'heart_failure_with_anemia')} FROM scored",
+    "a22_patient_features_of_all_records": ALL.replace("WHERE rk <= 50", "").replace("least(count(*), 100)", "count(*)")
+    + f"SELECT {doubles(*LAB_FLAGS, 'long_stay_history', 'uncontrolled_diabetes', 'heart_failure_with_anemia')} FROM scored",
     "a23_pseudonyms": _with("patients") + "SELECT patient_id, substr(sha256(patient_id), 1, 16) AS patient_token FROM fx_patients",
     "a26_completeness": _complete(),
     "a27_validity": ALL + _stack(
