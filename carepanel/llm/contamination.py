@@ -7,11 +7,13 @@ the other way round.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,19 +26,16 @@ UNITS = frozenset(
     "mph hz khz mhz ghz v w kw j kj pa kpa c f k usd eur dollar dollars euro euros cent cents percent".split()
 )
 
-TOKEN = re.compile(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]+(?:'[^\W\d_]+)?|[%$€]|[.!?\n]")
+TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?\n]|[0-9]+(?:[.,][0-9]+)*|[%$€]")
 ENDERS = frozenset(".!?\n")
 LITERAL, NUMBER, NAME, UNIT, ENDER = range(5)
+MARKED = dict.fromkeys(UNITS | {"%", "$", "\u20ac"}, UNIT) | dict.fromkeys(ENDERS, ENDER)
 BITMAP_BITS = 23
 MOST_TOKENS = 500_000
 _HIT = "array<struct<h:long,pos:int,slots:array<string>>>"
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-
-
-PLACEHOLDERS = np.array([0, _hash("<num>"), _hash("<name>"), _hash("<unit>")], np.uint64)
+PLACEHOLDERS = np.array([0, *map(xxhash.xxh64_intdigest, ("<num>", "<name>", "<unit>"))], np.uint64)
 
 
 class TokenTable(dict):
@@ -48,16 +47,15 @@ class TokenTable(dict):
         self.kind_of, self.hash_of = np.zeros(1 << 16, np.int8), np.zeros(1 << 16, np.uint64)
 
     def __missing__(self, token: str) -> int:
-        if token in ENDERS:
-            kind = ENDER
-        elif token[0].isdigit():
-            kind = NUMBER
-        elif token in "%$\u20ac" or token.lower() in UNITS:
-            kind = UNIT
+        lowered = token.lower()
+        if lowered in MARKED:
+            kind = MARKED[lowered]
+        elif lowered == token:
+            kind = NUMBER if token[0].isdigit() else LITERAL
         else:
             kind = NAME if token[0].isupper() and not token.isupper() else LITERAL
         self[token] = number = len(self)
-        self.fresh.append((kind, _hash(token.lower())))
+        self.fresh.append((kind, xxhash.xxh64_intdigest(lowered)))
         return number
 
     def look_up(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,34 +74,57 @@ class TokenTable(dict):
 _TABLE = TokenTable()
 
 
-def template_windows(text: str, size: int, literals: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, their kinds, the hash of the window that starts at each token, and which windows tell something.
+class Windows:
+    """The template windows of some texts.
 
     A word with a capital is a name unless a sentence starts with it; a unit counts as one right after a number only.
-    Windows with fewer than ``literals`` words that are no slot tell nothing.
+    Per window: hash, text, position in the text in words, and whether it tells something, which takes ``literals`` words
+    that are no slot.
     """
-    tokens = TOKEN.findall(text)
-    if not tokens:
-        return [], np.zeros(0, np.int8), np.zeros(0, np.uint64), np.zeros(0, bool)
-    kinds, hashes = _TABLE.look_up(tokens)
-    before = np.r_[ENDER, kinds[:-1]]
-    kinds = np.where((kinds == NAME) & (before == ENDER), LITERAL, kinds)
-    kinds = np.where((kinds == UNIT) & (before != NUMBER), LITERAL, kinds)
-    words = np.flatnonzero(kinds != ENDER)
-    kinds, hashes = kinds[words], hashes[words]
-    tokens = [tokens[i] for i in words] if len(words) < len(tokens) else tokens
-    codes = np.where(kinds == LITERAL, hashes, PLACEHOLDERS[kinds])
-    count = len(codes) - size + 1
-    if count <= 0:
-        return tokens, kinds, np.zeros(0, np.uint64), np.zeros(0, bool)
-    window, plain = np.zeros(count, np.uint64), np.zeros(count, np.int64)
-    for k in range(size):
-        window = window * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + count]
-        plain += kinds[k : k + count] == LITERAL
-    window ^= window >> np.uint64(29)
-    window *= np.uint64(0xBF58476D1CE4E5B9)
-    window ^= window >> np.uint64(32)
-    return tokens, kinds, window, plain >= literals
+
+    def __init__(self, texts: list[str], size: int, literals: int):
+        found = [TOKEN.findall(t) for t in texts]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self.size, self.tokens = size, list(chain.from_iterable(found))
+        text = np.repeat(np.arange(len(found)), lengths)
+        kinds, hashes = _TABLE.look_up(self.tokens)
+        before = np.r_[ENDER, kinds[:-1]][: len(kinds)]
+        before[np.r_[True, text[1:] != text[:-1]][: len(text)]] = ENDER
+        kinds = np.where((kinds == NAME) & (before == ENDER), LITERAL, kinds)
+        kinds = np.where((kinds == UNIT) & (before != NUMBER), LITERAL, kinds)
+        self.words = np.flatnonzero(kinds != ENDER)
+        self.kinds, text, hashes = kinds[self.words], text[self.words], hashes[self.words]
+        codes = np.where(self.kinds == LITERAL, hashes, PLACEHOLDERS[self.kinds])
+        count = max(0, len(codes) - size + 1)
+        window, plain = np.zeros(count, np.uint64), np.zeros(count, np.int64)
+        literal = (self.kinds == LITERAL).astype(np.int64)
+        for k in range(size):
+            window = window * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + count]
+            plain += literal[k : k + count]
+        window ^= window >> np.uint64(29)
+        window *= np.uint64(0xBF58476D1CE4E5B9)
+        self.hash = window ^ (window >> np.uint64(32))
+        self.text = text[:count]
+        first = np.searchsorted(text, np.arange(len(found)))
+        self.position = np.arange(count) - first[self.text]
+        self.telling = (plain >= literals) & (self.text == text[size - 1 : size - 1 + count])
+
+    def slots(self, at: int) -> list[str]:
+        """What the placeholders of a window stand for."""
+        return [self.tokens[self.words[i]].lower() for i in range(at, at + self.size) if self.kinds[i] != LITERAL]
+
+
+def _groups(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
+    """Some texts at a time, about ``size`` characters."""
+    held, chars = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        chars += len(held[-1])
+        if chars >= size:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
 
 
 def _windows(table: DataFrame, text_col: str, size: int, literals: int, bitmap: np.ndarray | None, into: str) -> DataFrame:
@@ -113,14 +134,16 @@ def _windows(table: DataFrame, text_col: str, size: int, literals: int, bitmap:
     @F.arrow_udf(_HIT)
     def windows(texts: pa.Array) -> pa.Array:
         out = []
-        for text in texts:
-            tokens, kinds, found, telling = template_windows(text.as_py() or "", size, literals)
-            at = np.flatnonzero(telling)
+        for group in _groups(texts):
+            found = Windows(group, size, literals)
+            at = np.flatnonzero(found.telling)
             if bitmap is not None and len(at):
-                slot = found[at] & np.uint64((1 << BITMAP_BITS) - 1)
+                slot = found.hash[at] & np.uint64((1 << BITMAP_BITS) - 1)
                 at = at[(bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1]
-            hashes = found[at].view(np.int64).tolist()
-            out.append([{"h": h, "pos": p, "slots": [tokens[i].lower() for i in range(p, p + size) if kinds[i] != LITERAL]} for h, p in zip(hashes, at.tolist(), strict=True)])
+            hits = [[] for _ in group]
+            for i, h, text, pos in zip(at.tolist(), found.hash[at].view(np.int64).tolist(), found.text[at].tolist(), found.position[at].tolist(), strict=True):
+                hits[text].append({"h": h, "pos": pos, "slots": found.slots(i)})
+            out += hits
         return pa.array(out, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("slots", pa.list_(pa.string()))])))
 
     return table.withColumn(into, windows(F.col(text_col)))
