@@ -205,7 +205,8 @@ def global_drivers(spark, d):
 
 
 def one_patient(spark, d):
-    top = _features(spark, d).agg(F.max(cleaning.PATIENT)).scalar()
+    kept = cleaning.usable_first_encounters(view(spark, d, "admissions"))  # every one of them has features
+    top = kept.agg(F.max(cleaning.PATIENT)).scalar()
     table = drivers.patient_drivers(_explained(spark, d), cleaning.PATIENT, top, 4)
     return table.withColumn("contribution", F.round("contribution", 6))
 
