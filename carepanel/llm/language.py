@@ -155,11 +155,12 @@ def document_frequencies(texts: DataFrame, text_col: str) -> tuple[np.ndarray, i
     return frequency[:-1], int(frequency[-1])
 
 
-def train(labelled: DataFrame, per_language: int = 500, text_col: str = "text", lang_col: str = "lang") -> Model:
+def train(labelled: DataFrame, per_language: int = 500, text_col: str = "text", lang_col: str = "lang", most_languages: int = 200) -> Model:
     """A model of the languages of all rows with a non-null label.
 
-    The fit takes ``per_language`` distinct texts of each language at most: those with the smallest hashes, so neither
-    row order nor copies matter. Four fifths of them train the weights, the rest set the temperature.
+    The fit takes ``per_language`` distinct texts of each of the ``most_languages`` most frequent labels at most: those
+    with the smallest hashes, so neither row order nor copies matter. Four fifths of them train the weights, the
+    rest set the temperature. Document frequencies count every labelled text.
     """
     ship_package(labelled.sparkSession)
     usable = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
@@ -168,8 +169,11 @@ def train(labelled: DataFrame, per_language: int = 500, text_col: str = "text",
 
     key = F.xxhash64("text")
     first = Window.partitionBy("lang").orderBy("key")
-    drawn = usable.select("lang", key.alias("key")).distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
-    picked = usable.withColumn("key", key).join(F.broadcast(drawn.select("lang", "key")), ["lang", "key"], "left_semi")  # per_language rows a language
+    labels = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    learned = usable.where(F.col("lang").isin([r.lang for r in labels.collect()]))
+    drawn = learned.select("lang", key.alias("key")).distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
+    drawn = F.broadcast(drawn.select("lang", "key"))  # per_language * most_languages rows at most
+    picked = learned.withColumn("key", key).join(drawn, ["lang", "key"], "left_semi")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
