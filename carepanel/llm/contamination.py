@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carepanel.llm.shared import ship_package, stored
+from carepanel.llm.shared import hold_table, ship_package, stored
 
 #: Units that are a slot right after a number.
 UNITS = frozenset(
@@ -31,7 +31,7 @@ ENDERS = frozenset(".!?\n")
 LITERAL, NUMBER, NAME, UNIT, ENDER = range(5)
 MARKED = dict.fromkeys(UNITS | {"%", "$", "\u20ac"}, UNIT) | dict.fromkeys(ENDERS, ENDER)
 BITMAP_BITS = 23
-MOST_TOKENS = 500_000
+MOST_TOKENS = 250_000
 _HIT = "array<struct<h:long,pos:int,slots:array<string>>>"
 
 
@@ -87,6 +87,7 @@ class Windows:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         self.size, self.tokens = size, list(chain.from_iterable(found))
         text = np.repeat(np.arange(len(found)), lengths)
+        hold_table("templates", _TABLE.clear)
         kinds, hashes = _TABLE.look_up(self.tokens)
         before = np.r_[ENDER, kinds[:-1]][: len(kinds)]
         before[np.r_[True, text[1:] != text[:-1]][: len(text)]] = ENDER

@@ -5,15 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parent.parent
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", 1000
 _private: list[str] = []
+_tables: dict[str, Callable[[], None]] = {}
 _shipped: set[str] = set()
 
 
+def hold_table(owner: str, clear: Callable[[], None]) -> None:
+    """Let a Python worker, which serves many stages, keep the token table of one operator at a time."""
+    for other in [o for o in _tables if o != owner]:
+        _tables.pop(other)()
+    _tables[owner] = clear
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
@@ -42,7 +52,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers of this session this package, wherever they run (once per application)."""
+    """Give the Python workers of this session this package, wherever they run (once per application).
+
+    Rows are whole texts, so batches to and from Python hold BATCH_ROWS of them unless the session has its own number.
+    """
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

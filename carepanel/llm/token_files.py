@@ -31,7 +31,7 @@ from carepanel.llm.words import WordTokens
 #: The pre-tokenizer's pattern for lower-case words of printable ASCII and Latin-1 letters.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
 PLAIN = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
-MOST_PIECES = 600_000
+MOST_WORDS, MOST_PIECES = 700_000, 600_000
 NULL_ID = np.iinfo(np.int64).min  # stands for a missing document id, and sorts first as nulls do
 
 
@@ -40,7 +40,7 @@ class LibraryWords:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = WordTokens(self.tokenize)
+        self.words = WordTokens(self.tokenize, MOST_WORDS)
         self.pieces: dict[str, list[int]] = {}
         # bytes as the byte-level rule writes them: visible ones as they are, the others from 256 on
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]

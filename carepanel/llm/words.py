@@ -11,11 +11,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
+from carepanel.llm.shared import hold_table
+
 #: What Python takes for white space beyond the property White_Space.
 NOT_WHITE = re.compile("[\x1c-\x1f]")
 SPLIT = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 PIECE_CHARS = 1 << 20
-MOST_WORDS = 700_000
+MOST_WORDS = 250_000
 
 
 def split_words(text: str) -> list[str]:
@@ -48,10 +50,10 @@ class _Numbers(dict):
 
 
 class WordTokens:
-    """Ids of texts through a table of the words met so far (cleared when it holds ``MOST_WORDS``)."""
+    """Ids of texts through a table of the words met so far (cleared when it holds ``most_words``)."""
 
-    def __init__(self, tokenize: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.tokenize = tokenize
+    def __init__(self, tokenize: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most_words: int = MOST_WORDS):
+        self.tokenize, self.most_words = tokenize, most_words
         self._clear()
 
     def _clear(self) -> None:
@@ -70,7 +72,7 @@ class WordTokens:
 
     def _ids(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of some word lists, flat, and how many each list has."""
-        if len(self.numbers) > MOST_WORDS:
+        if len(self.numbers) > self.most_words:
             self._clear()
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         number = np.fromiter((self.numbers[w] for each in words for w in each), np.int64, int(sizes.sum()))
@@ -85,6 +87,7 @@ class WordTokens:
 
     def texts(self, texts: Iterator[str]) -> Iterator[tuple[np.ndarray, bool]]:
         """Per text its ids in one or more parts; the flag tells whether the text ends with the part."""
+        hold_table(f"words {id(self)}", self._clear)
         group: list[list[str]] = []
         held = 0
         for text in texts:

@@ -49,10 +49,10 @@ def test_long_texts_in_pieces(library, odd_strings, monkeypatch):
     assert whole(bpe.Encoder(PATH).words, [text, "", text]) == [library.encode(t, add_special_tokens=False).ids for t in (text, "", text)]
 
 
-def test_a_full_word_table_is_cleared(library, monkeypatch):
-    monkeypatch.setattr(words, "MOST_WORDS", 3)
+def test_a_full_word_table_is_cleared(library):
     texts = [f"w{i} x{i} y{i}" for i in range(20)]
     encoder = bpe.Encoder(PATH)
+    encoder.words.most_words = 3
     assert [whole(encoder.words, [t])[0] for t in texts] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
