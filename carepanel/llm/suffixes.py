@@ -236,18 +236,22 @@ def repeated_spans(texts: DataFrame, length: int = 200, lead: int = 64) -> DataF
     sorted_suffixes = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     found = stored(sorted_suffixes.mapInArrow(_neighbours, "lead long, k1 long, k2 long, at int, size int, open boolean"), "suffixes")
     whole = found.where("not open").select("k1", "k2", F.col("at").alias("from"), (F.col("at") + F.col("size")).alias("to"))
+    # copies of a text are repeated whole, so that what is compared below holds every text once
+    copied = long_enough.select("k1", "k2", F.octet_length("text").alias("size")).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("size").alias("to"))
+    copied = copied.where("n > 1").select("k1", "k2", F.lit(0).alias("from"), "to")
+    once = long_enough.groupBy("k1", "k2").agg(F.first("text").alias("text"))  # combines before the shuffle
 
     # leading names with very many kinds of stretches are compared by window names that combine before the shuffle
     crowded = found.where("open").groupBy("lead").count().where(F.col("count") > MOST_STRETCHES).select("lead", F.lit(True).alias("many"))
     wanted = found.where("open").join(crowded, "lead", "left").withColumn("many", F.coalesce("many", F.lit(False)))
     wanted = wanted.groupBy("k1", "k2").agg(F.collect_set(F.struct("lead", "many", "at", "size")).alias("list_of"))  # bounded by the text
-    cut = long_enough.join(wanted, ["k1", "k2"]).mapInArrow(lambda b: _cut(b, length), "lead long, many boolean, k1 long, k2 long, at int, bytes binary")
+    cut = once.join(wanted, ["k1", "k2"]).mapInArrow(lambda b: _cut(b, length), "lead long, many boolean, k1 long, k2 long, at int, bytes binary")
     cut = stored(cut, "stretches")
     compared = cut.where("not many").repartition("lead").sortWithinPartitions("lead").mapInArrow(lambda b: _compare(b, length), "k1 long, k2 long, from int, to int")
     named = cut.where("many").mapInArrow(lambda b: _window_names(b, length), "n1 long, n2 long, k1 long, k2 long, from int")
     often = named.groupBy("n1", "n2").count().where("count > 1").select("n1", "n2")
     by_name = named.join(often, ["n1", "n2"]).select("k1", "k2", "from", (F.col("from") + length).alias("to"))
-    return whole.union(compared).union(by_name)
+    return whole.union(copied).union(compared).union(by_name)
 
 
 def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

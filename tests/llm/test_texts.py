@@ -47,6 +47,17 @@ def test_crowded_leading_names_give_the_same_spans(spark, make_docs, monkeypatch
     assert [(r.n_bytes, bytes(r.kept)) for r in found] == [(n, kept) for n, _, _, kept in brute_removed(texts, 200)]
 
 
+def test_copies_of_a_text_are_compared_once(make_docs, monkeypatch):
+    kept, plain = {}, suffixes.stored
+    monkeypatch.setattr(suffixes, "stored", lambda df, label: kept.setdefault(label, plain(df, label)))
+    near = prose(5, 100).split(" ")
+    texts = [" ".join(near)] * 300 + [" ".join(near[:i] + ["changed"] + near[i:]) for i in (40, 60)] + ["q" + prose(6, 50)] * 50
+    found = suffixes.without_repeats(make_docs(list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [(r.n_bytes, bytes(r.kept)) for r in found] == [(n, kept) for n, _, _, kept in brute_removed(texts, 200)]
+    stretches = kept["stretches"].select("k1", "k2", "at")
+    assert 0 < stretches.count() == stretches.distinct().count()
+
+
 def test_stretches_do_not_depend_on_chunks(monkeypatch):
     data = np.frombuffer(("".join(repeats()[:6]) * 3).encode(), np.uint8)
     flat = lambda: {(int(n), a, a + s) for g, _, at, size in suffixes.anchored_stretches(data, 200, 64) for n, a, s in zip(g, at.tolist(), size.tolist(), strict=True)}
