@@ -154,6 +154,12 @@ def fingerprint_links(distinct_fp: DataFrame, max_bits: int) -> DataFrame:
     return ordered.mapInArrow(lambda batches: _links_of_partition(batches, max_bits), "a long, b long").distinct()
 
 
+def fingerprint_roots(distinct_fp: DataFrame, max_bits: int) -> DataFrame:
+    """``fp``, ``root``: the component of every distinct fingerprint."""
+    roots = components(fingerprint_links(distinct_fp, max_bits)).withColumnRenamed("node", "fp")
+    return distinct_fp.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row's id, ``fingerprint`` (16 hex digits) and ``component_id`` (the smallest id reachable, its own included).
 

@@ -34,17 +34,26 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest doc_id of each SimHash component."""
-    groups = simhash.near_duplicates(docs, shingle_words=3, max_bits=3)
-    leaders = groups.where("doc_id = component_id").select("doc_id").distinct()
-    # rows that repeat an id are copies or stand for one document: the first by text stays
-    kept = docs.join(leaders, "doc_id", "left_semi")
-    repeated = stored(kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    """One row of each SimHash component: that with the smallest doc_id (null ids last), among those the first by hash.
+
+    Rows are told apart by fingerprint and content, so null ids and ids that several documents share lose nothing.
+    """
+    prints = simhash.fingerprints(docs.select(F.struct(*docs.columns).alias("row"), "text"), 3, "row", "text")
+    rows = stored(prints.withColumnRenamed("id", "row"), "prints")
+    order = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), F.xxhash64("row").alias("h"))
+    best = stored(rows.groupBy("fp").agg(F.min(order).alias("best")), "classes")
+    roots = simhash.fingerprint_roots(best.select("fp"), max_bits=3)
+    leaders = best.join(roots, "fp").groupBy("root").agg(F.min_by("fp", "best").alias("fp"), F.min("best").alias("best"))
+    leaders = leaders.select("fp", F.col("best.id").alias("id"), F.col("best.h").alias("h"))
+    keyed = rows.select("fp", "row", F.col("row.doc_id").alias("id"), F.xxhash64("row").alias("h")).alias("r")
+    same = (F.col("r.fp") == F.col("l.fp")) & (F.col("r.h") == F.col("l.h")) & F.col("r.id").eqNullSafe(F.col("l.id"))
+    kept = stored(keyed.join(leaders.alias("l"), same, "left_semi").select("fp", "row"), "kept")
+    # rows that are equal in all columns: one stays
+    repeated = stored(kept.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "repeated")
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    rows = kept.select("doc_id", F.struct(*docs.columns).alias("row"))
-    once = rows.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    return rows.join(repeated, "doc_id", "left_anti").unionByName(once).select("row.*")
+        return kept.select("row.*")
+    once = kept.join(repeated, "fp", "left_semi").groupBy("fp").agg(F.first("row").alias("row"))
+    return kept.join(repeated, "fp", "left_anti").unionByName(once).select("row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

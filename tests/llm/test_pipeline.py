@@ -67,3 +67,12 @@ def test_odd_documents_go_through(spark, sf_dir):
         for name, stage in corpus_pipeline.STAGES:
             table = stored(stage(spark, table, sf_dir), "stage")
         assert table.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_null_and_shared_ids_keep_a_row_of_each_group(spark, sf_dir):
+    a, b, c, d = (prose(i, 60) for i in (31, 32, 33, 34))
+    rows = [(None, a), (None, b), (None, b), (4, c), (4, d), (4, c), (5, c), (None, d)]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, a), (0, b), (4, c), (4, d)])
