@@ -1,8 +1,8 @@
 """Benchmark items in documents, re-parameterised ones too: template windows, a hash join and a slot check.
 
-Numbers, names and units become typed placeholders. Windows of canonical tokens are joined by hash; what the placeholders
-stood for is compared along an alignment, where one value of the item must answer to one value of the document and
-the other way round.
+Numbers, names and units become typed placeholders. Windows of canonical tokens are joined by hash, words with a capital
+read both ways (as they are, and as a name). What the placeholders stood for is compared along each run of windows, where
+one value of the item must answer to one value of the document; runs on both sides of an edit are chained.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ LITERAL, NUMBER, NAME, UNIT, ENDER = range(5)
 MARKED = dict.fromkeys(UNITS | {"%", "$", "\u20ac"}, UNIT) | dict.fromkeys(ENDERS, ENDER)
 BITMAP_BITS = 23
 MOST_TOKENS = 250_000
-_HIT = "array<struct<h:long,pos:int,slots:array<string>>>"
+START = "^"  # marks a slot that starts a sentence
+_HIT = "array<struct<h:long,pos:int,rank:int,slots:array<string>>>"
 
 
 PLACEHOLDERS = np.array([0, *map(xxhash.xxh64_intdigest, ("<num>", "<name>", "<unit>"))], np.uint64)
@@ -77,12 +78,13 @@ _TABLE = TokenTable()
 class Windows:
     """The template windows of some texts.
 
-    A word with a capital is a name unless a sentence starts with it; a unit counts as one right after a number only.
-    Per window: hash, text, position in the text in words, and whether it tells something, which takes ``literals`` words
-    that are no slot.
+    A word with a capital is read both as a word and as a name, so a window has a hash for each reading; a unit counts as
+    one right after a number only. Windows tell something if ``literals`` of their words are no slot: of an item those
+    that are no name in mid-sentence, of a document (``loose``) all words. Texts of fewer than ``size`` words, and
+    sentences of documents that may be one, are windows of their own (``whole``).
     """
 
-    def __init__(self, texts: list[str], size: int, literals: int):
+    def __init__(self, texts: list[str], size: int, literals: int, loose: bool):
         found = [TOKEN.findall(t) for t in texts]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         self.size, self.tokens = size, list(chain.from_iterable(found))
@@ -91,28 +93,60 @@ class Windows:
         kinds, hashes = _TABLE.look_up(self.tokens)
         before = np.r_[ENDER, kinds[:-1]][: len(kinds)]
         before[np.r_[True, text[1:] != text[:-1]][: len(text)]] = ENDER
-        kinds = np.where((kinds == NAME) & (before == ENDER), LITERAL, kinds)
+        after = np.r_[kinds[1:], ENDER][: len(kinds)]
+        after[np.r_[text[1:] != text[:-1], True][: len(text)]] = ENDER
         kinds = np.where((kinds == UNIT) & (before != NUMBER), LITERAL, kinds)
         self.words = np.flatnonzero(kinds != ENDER)
-        self.kinds, text, hashes = kinds[self.words], text[self.words], hashes[self.words]
-        codes = np.where(self.kinds == LITERAL, hashes, PLACEHOLDERS[self.kinds])
-        count = max(0, len(codes) - size + 1)
-        window, plain = np.zeros(count, np.uint64), np.zeros(count, np.int64)
-        literal = (self.kinds == LITERAL).astype(np.int64)
+        self.opens, self.closes = before[self.words] == ENDER, after[self.words] == ENDER
+        self.kinds, self.text, self.hashes = kinds[self.words], text[self.words], hashes[self.words]
+        first = np.searchsorted(self.text, np.arange(len(found) + 1))
+        self.length = np.diff(first)
+        self.position = np.arange(len(self.text)) - first[self.text]
+        count = max(0, len(self.words) - size + 1)
+        name = self.kinds == NAME
+        literal = ((self.kinds == LITERAL) | (name if loose else name & self.opens)).astype(np.int64)
+        plain, flags = np.zeros(count, np.int64), np.zeros(count, np.int64)
         for k in range(size):
-            window = window * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + count]
             plain += literal[k : k + count]
+            flags |= name[k : k + count].astype(np.int64) << k
+        inside = self.text[:count] == self.text[size - 1 : size - 1 + count]
+        self.telling = np.flatnonzero((plain >= literals) & inside)
+        self.flags = flags[self.telling]
+
+    def readings(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places and hashes of the telling windows, for one choice of names at a time."""
+        codes = np.where((self.kinds == LITERAL) | (self.kinds == NAME), self.hashes, PLACEHOLDERS[self.kinds])
+        masks = {0}
+        for flags in np.unique(self.flags).tolist():
+            mask = flags
+            while mask:
+                masks.add(mask)
+                mask = (mask - 1) & flags
+        for mask in sorted(masks):
+            at = self.telling[(self.flags & mask) == mask]
+            yield at, self._hash(at, [PLACEHOLDERS[NAME] if mask >> k & 1 else codes[at + k] for k in range(self.size)])
+
+    def whole(self, width: int, entire: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of strings of ``width`` words between sentence ends (``entire``: that are a whole text)."""
+        at = np.flatnonzero(self.opens[: max(0, len(self.words) - width + 1)])
+        at = at[self.closes[at + width - 1] & (self.text[at] == self.text[at + width - 1])]
+        if entire:
+            at = at[self.length[self.text[at]] == width]
+        return at, self._hash(at, [np.uint64(width), *(self.hashes[at + k] for k in range(width))])
+
+    @staticmethod
+    def _hash(at: np.ndarray, codes: list) -> np.ndarray:
+        window = np.zeros(len(at), np.uint64)
+        for code in codes:
+            window = window * np.uint64(0x9E3779B97F4A7C15) + code
         window ^= window >> np.uint64(29)
         window *= np.uint64(0xBF58476D1CE4E5B9)
-        self.hash = window ^ (window >> np.uint64(32))
-        self.text = text[:count]
-        first = np.searchsorted(text, np.arange(len(found)))
-        self.position = np.arange(count) - first[self.text]
-        self.telling = (plain >= literals) & (self.text == text[size - 1 : size - 1 + count])
+        return window ^ (window >> np.uint64(32))
 
     def slots(self, at: int) -> list[str]:
-        """What the placeholders of a window stand for."""
-        return [self.tokens[self.words[i]].lower() for i in range(at, at + self.size) if self.kinds[i] != LITERAL]
+        """What the placeholders of a window stand for, empty for other words."""
+        mark = lambda i: START if self.kinds[i] == NAME and self.opens[i] else ""
+        return ["" if self.kinds[i] == LITERAL else mark(i) + self.tokens[self.words[i]].lower() for i in range(at, min(at + self.size, len(self.words)))]
 
 
 def _groups(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
@@ -128,7 +162,7 @@ def _groups(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
         yield held
 
 
-def _windows(table: DataFrame, text_col: str, size: int, literals: int, bitmap: np.ndarray | None, into: str) -> DataFrame:
+def _windows(table: DataFrame, text_col: str, size: int, literals: int, bitmap: np.ndarray | None, widths: list[int], into: str) -> DataFrame:
     """Rows with ``into``: the telling windows (those in the bitmap, if one is given) with the values of their slots."""
     ship_package(table.sparkSession)
 
@@ -136,16 +170,18 @@ def _windows(table: DataFrame, text_col: str, size: int, literals: int, bitmap:
     def windows(texts: pa.Array) -> pa.Array:
         out = []
         for group in _groups(texts):
-            found = Windows(group, size, literals)
-            at = np.flatnonzero(found.telling)
-            if bitmap is not None and len(at):
-                slot = found.hash[at] & np.uint64((1 << BITMAP_BITS) - 1)
-                at = at[(bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1]
+            found = Windows(group, size, literals, bitmap is not None)
             hits = [[] for _ in group]
-            for i, h, text, pos in zip(at.tolist(), found.hash[at].view(np.int64).tolist(), found.text[at].tolist(), found.position[at].tolist(), strict=True):
-                hits[text].append({"h": h, "pos": pos, "slots": found.slots(i)})
+            rank = dict(zip(found.telling.tolist(), (np.arange(len(found.telling)) - np.searchsorted(found.text[found.telling], found.text[found.telling])).tolist(), strict=True)) if bitmap is None else {}
+            for at, hashes in chain(found.readings(), (found.whole(w, bitmap is None) for w in widths)):
+                if bitmap is not None and len(at):
+                    slot = hashes & np.uint64((1 << BITMAP_BITS) - 1)
+                    passed = (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+                    at, hashes = at[passed], hashes[passed]
+                for i, h, text, pos in zip(at.tolist(), hashes.view(np.int64).tolist(), found.text[at].tolist(), found.position[at].tolist(), strict=True):
+                    hits[text].append({"h": h, "pos": pos, "rank": rank.get(i, 0), "slots": found.slots(i)})
             out += hits
-        return pa.array(out, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("slots", pa.list_(pa.string()))])))
+        return pa.array(out, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("rank", pa.int32()), ("slots", pa.list_(pa.string()))])))
 
     return table.withColumn(into, windows(F.col(text_col)))
 
@@ -160,6 +196,79 @@ def window_bitmap(windows: DataFrame) -> np.ndarray:
     return bitmap
 
 
+def _answers(pairs: Iterator[tuple[list[str], list[str]]]) -> dict[str, str] | None:
+    """Document value of every item value, None if a value has two."""
+    out: dict[str, str] = {}
+    for a, b in pairs:
+        for x, y in zip(a, b, strict=False):
+            if x and out.setdefault(x.lstrip(START), (y or x).lstrip(START)) != (y or x).lstrip(START):
+                return None
+    return out
+
+
+def _same_slots(a: list[str], b: list[str], starts_only: bool) -> bool:
+    return all(x.lstrip(START) == (y or x).lstrip(START) for x, y in zip(a, b, strict=False) if x and (x[0] == START or y[:1] == START or not starts_only))
+
+
+def _runs(windows: list, size: int) -> Iterator[list]:
+    run: list = []
+    for w in windows:
+        if run and w[0] > run[-1][0] + size:
+            yield run
+            run = []
+        run.append(w)
+    if run:
+        yield run
+
+
+def _segments(windows: list, size: int, tries: int = 0) -> Iterator[tuple[list, dict, bool]]:
+    """Runs with consistent slots; of other runs the windows with equal sentence starts, then the verbatim ones."""
+    for run in _runs(windows, size):
+        answers = _answers((a, b) for _, _, a, b in run)
+        verbatim = all(_same_slots(a, b, False) for _, _, a, b in run)
+        if answers is not None or verbatim:
+            yield run, answers or {}, verbatim
+        elif tries < 2:
+            yield from _segments([w for w in run if _same_slots(w[2], w[3], tries == 0)], size, tries + 1)
+
+
+def best_alignment(hits: list[dict], n_windows: int, size: int) -> tuple[float, int]:
+    """Largest share of the item's windows and longest run of its words along a chain of segments.
+
+    A segment may follow another one in item and document whose shift differs by ``size`` words at most, unless their
+    slots contradict each other. If words were only put in or only left out between them, the run goes on and the
+    windows over that edit count.
+    """
+    shifts: dict[int, dict[int, tuple]] = {}
+    for h in hits:
+        shifts.setdefault(h["pos"] - h["item_pos"], {})[h["item_pos"]] = (h["item_pos"], h["rank"], h["item_slots"], h["slots"])
+    segments = []
+    for shift, windows in shifts.items():
+        for run, answers, verbatim in _segments([windows[i] for i in sorted(windows)], size):
+            segments.append((run[-1][0] + size, shift, run[0][0], [w[1] for w in run], answers, verbatim))
+    segments.sort(key=lambda s: (s[0], s[0] + s[1]))
+    chained: dict[int, list] = {}
+    most, longest = 0, 0
+    for end, shift, begin, ranks, answers, verbatim in segments:
+        best = (len(ranks), end - begin, begin, answers)
+        for other in range(shift - size, shift + size + 1):
+            for end0, begin0, last0, held0, run0, open0, answers0, verbatim0 in chained.get(other, ()):
+                if not (end0 < end and begin0 < begin and end0 + other < end + shift and begin0 + other < begin + shift):
+                    continue
+                if not (verbatim or verbatim0) and any(answers0.get(x, y) != y for x, y in answers.items()):
+                    continue
+                fresh = [r for r in ranks if r > last0]
+                held, opened = held0 + len(fresh), begin
+                missing, added = max(0, begin - end0), max(0, begin + shift - end0 - other)
+                if other != shift and min(missing, added) == 0 and fresh:
+                    held, opened = held + fresh[0] - last0 - 1, open0
+                best = max(best, (held, max(run0, end - opened), opened, answers0 | answers), key=lambda b: b[:2])
+        held, run, opened, all_answers = best
+        chained.setdefault(shift, []).append((end, begin, ranks[-1], held, run, opened, all_answers, verbatim))
+        most, longest = max(most, held), max(longest, run)
+    return min(1.0, most / n_windows), longest
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -173,36 +282,34 @@ def find_contamination(
 ) -> DataFrame:
     """``key`` (MD5 of a document's text) and item of every leak, with the share of the item's windows and the longest run.
 
-    An alignment of document and item is a leak if its slots are consistent and it holds ``least_share`` of the item's
-    telling windows, or a run of ``least_run`` tokens. Documents are scanned once against a bitmap of fixed size;
+    An alignment of document and item is a leak if it holds ``least_share`` of the item's telling windows, or a run of
+    ``least_run`` words, in runs that are verbatim or have consistent slots (see ``best_alignment``). Documents are scanned once against a bitmap of fixed size;
     only windows that pass it are joined with the item windows by hash, so neither side is ever broadcast whole.
 
-    Null and empty texts, and items without a telling window (shorter than ``size`` words, or slots only), match
-    nothing. Copies of a text are judged once. Items that repeat count once per distinct id and text; a null item id is an id.
+    An item shorter than ``size`` words matches where it stands word for word between sentence ends. Null and empty texts,
+    and longer items without a telling window (slots only), match nothing. Copies of a text are judged once. Items that repeat count once per distinct id and text; a null item id is an id.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("item_text")).where("item_text is not null").distinct()
-    listed = _windows(items, "item_text", size, literals, None, "w").withColumn("n_windows", F.size("w")).where("n_windows > 0")
-    asked = stored(listed.select("item_id", F.md5("item_text").alias("item_key"), "n_windows", F.explode("w").alias("w")).select("item_id", "item_key", "n_windows", "w.h", F.col("w.pos").alias("item_pos"), F.col("w.slots").alias("item_slots")), "items")
+    listed = _windows(items, "item_text", size, literals, None, list(range(1, size)), "w").where(F.size("w") > 0)
+    listed = listed.withColumn("n_windows", F.array_max("w.rank") + 1).withColumn("width", F.size(F.col("w")[0]["slots"]))
+    asked = listed.select("item_id", F.md5("item_text").alias("item_key"), "n_windows", "width", F.explode("w").alias("w"))
+    asked = stored(asked.select("item_id", "item_key", "n_windows", "width", "w.h", "w.rank", F.col("w.pos").alias("item_pos"), F.col("w.slots").alias("item_slots")), "items")
     bitmap = window_bitmap(asked)
+    widths = [r.width for r in asked.where(F.col("width") < size).select("width").distinct().collect()]  # fewer than size
 
-    scanned = _windows(docs.select(F.col(text_col).cast("string").alias("doc_text")), "doc_text", size, literals, bitmap, "w")
+    scanned = _windows(docs.select(F.col(text_col).cast("string").alias("doc_text")), "doc_text", size, literals, bitmap, widths, "w")
     hits = scanned.where(F.size("w") > 0).select(F.md5("doc_text").alias("key"), F.explode("w").alias("w"))
     hits = hits.select("key", "w.h", "w.pos", "w.slots").distinct()
-    joined = hits.join(asked, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
-    pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    aligned = joined.groupBy("key", "item_id", "item_key", "n_windows", "shift").agg(  # bounded by the item's length
-        F.array_sort(F.collect_set("item_pos")).alias("at"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
-    )
-    distinct = lambda side: F.size(F.array_distinct(F.col("pairs")[side]))
-    consistent = (distinct("a") == F.size("pairs")) & (distinct("b") == F.size("pairs"))
-    start = F.struct(F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("best"))
-
-    def longer(run, p):
-        first = F.when((run["last"] >= 0) & (p <= run["last"]), run["first"]).otherwise(p)
-        return F.struct(first.alias("first"), (p + size).alias("last"), F.greatest(run["best"], p + size - first).alias("best"))
-
-    judged = aligned.where(consistent).withColumn("run", F.aggregate("at", start, longer)["best"]).withColumn("share", F.size("at") / F.col("n_windows"))
+    of_item = ["item_pos", "pos", "rank", "item_slots", "slots"]
+    aligned = hits.join(asked, "h").groupBy("key", "item_id", "item_key", "n_windows", "width").agg(F.collect_set(F.struct(*of_item)).alias("hits"))  # bounded by item and text
+    found = pa.struct([("share", pa.float64()), ("run", pa.int32())])
+
+    @F.arrow_udf("struct<share:double,run:int>")
+    def judge(hits: pa.Array, n_windows: pa.Array, width: pa.Array) -> pa.Array:
+        out = (best_alignment(h.as_py(), n.as_py(), w.as_py()) for h, n, w in zip(hits, n_windows, width, strict=True))
+        return pa.array([{"share": share, "run": run} for share, run in out], found)
+
+    judged = aligned.select("key", "item_id", "item_key", judge("hits", "n_windows", "width").alias("j")).select("key", "item_id", "item_key", "j.share", "j.run")
     leaks = judged.where((F.col("share") >= least_share) | (F.col("run") >= least_run))
     return leaks.groupBy("key", "item_id", "item_key").agg(F.max("share").alias("share"), F.max("run").alias("run"))
 

@@ -124,6 +124,18 @@ def test_leaks_and_slots(spark, make_docs):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5, 7]
 
 
+def test_leaks_with_renamed_starts_edits_and_short_items(spark, make_docs):
+    tom = "Tom has 3 apples. Tom buys 5 more apples at the market."
+    words = "the old harbour was rebuilt after a storm by people of a small town".split()[:13]
+    bench = spark.createDataFrame([(1, tom), (2, ITEM), (3, " ".join(words)), (4, "Too short")], "item_id long, text string")
+    docs = make_docs(
+        [(0, "Ana has 4 apples. Ana buys 6 more apples at the market."), (1, "So Ana has 4 apples. Ana buys 4 more apples at the market."), (2, ITEM.lower()), (3, ITEM.replace("Anna and", "Eve and"))]
+        + [(4, " ".join(words[:6] + ["big"] + words[6:])), (5, " ".join(words[:6] + words[7:])), (6, "It is. Too short. Yes"), (7, "far too short of breath"), (8, MIXED), (9, prose(8, 200))]
+    )
+    found = {(r.doc_id, r.item_id) for r in contamination.leaked_documents(docs, bench).collect()}
+    assert found == {(0, 1), (1, 1), (2, 2), (3, 2), (4, 3), (5, 3), (6, 4)}
+
+
 def test_leaks_of_odd_tables(odd_docs, no_docs, spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert contamination.leaked_documents(odd_docs, bench).count() == 0
