@@ -31,7 +31,8 @@ def scaled_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "
 def _matrix(table: pa.Table) -> np.ndarray:
     """The vectors of a block, one row per vector."""
     flat = [c.flatten().to_numpy() for c in table.column("v").chunks]
-    return np.concatenate(flat).reshape(table.num_rows, -1)
+    values = np.concatenate(flat)
+    return values.reshape(table.num_rows, len(values) // table.num_rows)
 
 
 def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -77,6 +78,8 @@ def search_block(query_ids, queries, cand_ids, candidates, k: int):
             keep = reach >= bound
             if not keep.all():
                 alive, score = alive[keep], score[keep]
+        if score is None:  # vectors without components
+            score = np.zeros(len(alive))
         best = _best(score, cand_ids[alive], k)
         yield n, alive[best], score[best]
 

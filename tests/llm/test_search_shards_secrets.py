@@ -40,6 +40,12 @@ def test_vectors_that_take_no_part(spark):
     assert topk.top_inner_products(table.limit(0)).count() == 0
 
 
+def test_vectors_without_components_score_zero(spark):
+    rows = [(0, []), (1, []), (50, [1.0])]
+    found = {tuple(r) for r in topk.top_inner_products(vectors(spark, [(i, v, 0, 0, 0) for i, v in rows])).collect()}
+    assert found == brute_top(rows, 50, 5) == {(0, 1, 1, 0)}
+
+
 def test_large_integers_stay_exact(spark):
     rows = [(0, [4000001.0, 3.0]), (1, [3999999.0, 1.0]), (2, [3999999.0, 2.0])]
     found = {tuple(r) for r in topk.top_inner_products(vectors(spark, [(i, v, 0, 0, 0) for i, v in rows])).collect()}
