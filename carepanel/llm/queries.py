@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepanel.llm import bpe, contamination, html_text, language, line_templates, secret_scan, shards, simhash, suffixes, token_files, topk
+from carepanel.llm import (
+    bpe,
+    contamination,
+    html_text,
+    language,
+    line_templates,
+    prefix_trie,
+    secret_scan,
+    shards,
+    simhash,
+    suffixes,
+    token_files,
+    topk,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -66,6 +79,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_report(secret_scan.find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"), base_every=100, shared_turns=6)
+
+
 def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.with_main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), into="text")
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
@@ -82,5 +99,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
     "op10_secrets": op10_secrets,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_html": op12_html,
 }
