@@ -19,6 +19,7 @@ from carepanel.llm import (
     shards,
     simhash,
     suffixes,
+    token_alignment,
     token_files,
     topk,
 )
@@ -88,6 +89,12 @@ def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned_documents(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -101,4 +108,5 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_html": op12_html,
+    "op13_alignment": op13_alignment,
 }
