@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from carepanel.functions.numeric import rounded, sure_flag
+from carepanel.functions.quantiles import exact_quantiles
 
 # Missing tokens, dropped columns, discharge codes of expired or hospice patients.
 MISSING_TOKENS = ["?", ""]
@@ -54,16 +56,14 @@ def first_encounters(df: DataFrame) -> DataFrame:
 
 
 def cap_outliers(df: DataFrame, quantile: float = CAP_QUANTILE) -> DataFrame:
-    """Cap skewed counts at an exact quantile.
-
-    ``percentile`` keeps one entry per distinct value, and these are small whole numbers. The caps
-    reach the rows as one scalar subquery over the capped columns only.
+    """Cap skewed counts at an exact quantile, found by distributed selection over counts per value (no task holds
+    all distinct values); the caps reach the rows as literals. A column without values is left as it is.
     """
     present = [c for c in CAPPED_COLUMNS if c in df.columns]
     if not present:
         return df
-    caps = df.agg(F.struct(*[F.percentile(c, F.lit(quantile)).alias(c) for c in present])).scalar()
-    capped = {c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), caps[c])) for c in present}
+    caps = {c: v[0] for c, v in exact_quantiles(df, present, [quantile]).items()}
+    capped = {c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), F.lit(caps[c]).cast("double"))) for c in present}
     return df.withColumns(capped)
 
 
