@@ -190,3 +190,30 @@ def test_versioned_sink(spark, tmp_path):
     options = {"header": True, "multiLine": True, "escape": '"', "nullValue": "\\N"}
     back = {int(r.i): r.s for r in spark.read.options(**options).csv(f"{root}/LATEST").collect()}
     assert back[1] == "a\nb" and back[2] == 'say "hi", ok' and back[5] == " sp " and back[6] == "back\\slash" and back[3] == ""
+
+
+def test_contact_log_writers_from_one_version_both_survive(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path / "log")
+    ids = lambda *xs: spark.createDataFrame([(x,) for x in xs], "patient_id long")
+    contact_log.save_contacts(spark, root, ids(1, 2), "2024-01-01")
+    jobs = [(ids(2, 3), "2024-02-01"), (ids(4,), "2024-03-01"), (ids(5, 1), "2024-04-01")]
+    with ThreadPoolExecutor(3) as pool:
+        written = list(pool.map(lambda job: contact_log.save_contacts(spark, root, *job), jobs))
+    assert sorted(w[-7:] for w in written) == ["v000002", "v000003", "v000004"]
+    got = {r[0]: str(r[1]) for r in contact_log.read_contact_log(spark, root).collect()}
+    assert set(got) == {1, 2, 3, 4, 5} and got[4] == "2024-03-01" and got[3] == "2024-02-01"
+    assert got[1] in ("2024-01-01", "2024-04-01") and got[5] == "2024-04-01"
+
+
+def test_contact_log_skips_a_torn_claim(spark, tmp_path):
+    root = str(tmp_path / "log")
+    ids = lambda *xs: spark.createDataFrame([(x,) for x in xs], "patient_id long")
+    contact_log.save_contacts(spark, root, ids(1), "2024-01-01")
+    (tmp_path / "log" / "_claims" / "v000002").touch()  # a writer that claimed and died
+    (tmp_path / "log" / "v000002").mkdir()
+    assert contact_log.save_contacts(spark, root, ids(2), "2024-02-01", patience=0.5).endswith("v000003")
+    assert sorted(r[0] for r in contact_log.read_contact_log(spark, root).collect()) == [1, 2]
+    assert contact_log._decision(spark, root, 2) == contact_log.ABANDONED
+    assert not contact_log._create_new(spark, f"{root}/_decided/v000002", contact_log.COMMITTED)  # the late writer loses
