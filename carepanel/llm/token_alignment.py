@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from carepanel.llm.shared import ship_package, stored
 
-MEMO_WINDOWS = 200_000  # windows remembered per Python worker; a full memo starts again (it only saves time)
+MEMO_WINDOWS = 100_000  # windows remembered per Python worker; a full memo starts again (it only saves time)
+CHUNK = 100  # texts encoded together, so that few encodings live at once
 
 
 def _byte_level_table() -> dict[str, int]:
@@ -61,32 +62,46 @@ class Tokenizers:
         self.b_len = np.array([len(t) for t in self.b_bytes], np.int64)
         self.a_space = np.array([t[:1] == b" " for t in self.a_bytes])
         self.b_space = np.array([t[:1] == b" " for t in self.b_bytes])
+        self.a_len_list, self.b_len_list = self.a_len.tolist(), self.b_len.tolist()
         self.a_str = [str(i) for i in range(len(self.a_bytes))]
         self.b_str = [str(i) for i in range(self.b_size)]
-        self.memo: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-
-    def window(self, a_ids: np.ndarray, b_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of A and of B per group of one window, memoised by the ids of both sides."""
-        key = a_ids.tobytes() + b"|" + b_ids.tobytes()
+        self.memo: dict[tuple, tuple[list[tuple[int, int]], str]] = {}
+
+    def window(self, a_ids: tuple[int, ...], b_ids: tuple[int, ...]) -> tuple[list[tuple[int, int]], str]:
+        """Tokens of A and of B per group of one window and the window's part of the digest text, memoised by the ids
+        of both sides. A side of one token makes the whole window one group."""
+        if len(a_ids) == 1 or len(b_ids) == 1:
+            return [(len(a_ids), len(b_ids))], ",".join(map(self.a_str.__getitem__, a_ids)) + "|" + ",".join(map(self.b_str.__getitem__, b_ids))
+        key = (a_ids, b_ids)
         found = self.memo.get(key)
         if found is None:
-            ends_a, ends_b = np.cumsum(self.a_len[a_ids]), np.cumsum(self.b_len[b_ids])
-            cuts = np.intersect1d(ends_a, ends_b)
-            found = (np.diff(np.searchsorted(ends_a, cuts, "right"), prepend=0), np.diff(np.searchsorted(ends_b, cuts, "right"), prepend=0))
+            groups, text, i, j, end_a, end_b, last_i, last_j = [], [], 0, 0, 0, 0, 0, 0
+            while i < len(a_ids) or j < len(b_ids):
+                if end_a <= end_b and i < len(a_ids):
+                    end_a += self.a_len_list[a_ids[i]]
+                    i += 1
+                else:
+                    end_b += self.b_len_list[b_ids[j]]
+                    j += 1
+                if end_a == end_b:
+                    groups.append((i - last_i, j - last_j))
+                    text.append(",".join(map(self.a_str.__getitem__, a_ids[last_i:i])) + "|" + ",".join(map(self.b_str.__getitem__, b_ids[last_j:j])))
+                    last_i, last_j = i, j
+            found = (groups, ";".join(text))
             if len(self.memo) >= MEMO_WINDOWS:
                 self.memo.clear()
             self.memo[key] = found
         return found
 
-    def align(self, text: str | None, a_ids: list[int], b_ids: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(A ids, B ids, A tokens per group, B tokens per group); all empty when the text is null or empty or when
-        either side's bytes do not join to space + text."""
+    def align(self, text: str | None, a_ids: list[int], b_ids: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]:
+        """(A ids, B ids, A tokens per group, B tokens per group, digest); all empty when the text is null or empty or
+        when either side's bytes do not join to space + text."""
         nothing = np.zeros(0, np.int64)
         if not text:
-            return nothing, nothing, nothing, nothing
+            return nothing, nothing, nothing, nothing, ""
         data = (" " + text).encode()
         if b"".join(map(self.a_bytes.__getitem__, a_ids)) != data or b"".join(map(self.b_bytes.__getitem__, b_ids)) != data:
-            return nothing, nothing, nothing, nothing
+            return nothing, nothing, nothing, nothing, ""
         a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
         ends_a, ends_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
         common = np.intersect1d(ends_a, ends_b)
@@ -95,23 +110,15 @@ class Tokenizers:
         spaced = np.zeros(len(common), bool)
         spaced[inner] = self.a_space[a[at_a[inner]]] & self.b_space[b[at_b[inner]]]
         spaced[-1] = True
-        group_a, group_b, start_a, start_b = [], [], 0, 0
-        for end_a, end_b in zip(at_a[spaced], at_b[spaced]):
-            ga, gb = self.window(a[start_a:end_a], b[start_b:end_b])
-            group_a.append(ga)
-            group_b.append(gb)
+        a_tuple, b_tuple = tuple(a_ids), tuple(b_ids)
+        groups, parts, start_a, start_b = [], [], 0, 0
+        for end_a, end_b in zip(at_a[spaced].tolist(), at_b[spaced].tolist()):
+            found, part = self.window(a_tuple[start_a:end_a], b_tuple[start_b:end_b])
+            groups.extend(found)
+            parts.append(part)
             start_a, start_b = end_a, end_b
-        return a, b, np.concatenate(group_a), np.concatenate(group_b)
-
-    def digest(self, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray) -> str:
-        if not len(a):
-            return ""
-        a_text, b_text = list(map(self.a_str.__getitem__, a)), list(map(self.b_str.__getitem__, b))
-        parts, i, j = [], 0, 0
-        for na, nb in zip(ga.tolist(), gb.tolist()):
-            parts.append(",".join(a_text[i : i + na]) + "|" + ",".join(b_text[j : j + nb]))
-            i, j = i + na, j + nb
-        return hashlib.sha256(";".join(parts).encode()).hexdigest()
+        sizes = np.array(groups, np.int64).reshape(-1, 2)
+        return a, b, sizes[:, 0], sizes[:, 1], hashlib.sha256(";".join(parts).encode()).hexdigest()
 
     def pairs(self, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct linked (A id, B id) pairs as keys a * |B| + b, and how many links of the document each has."""
@@ -147,17 +154,19 @@ def _aligned(path_a: str, path_b: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         both = tokenizers(path_a, path_b)
         for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            a_all = both.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-            b_all = both.b.encode(texts, num_threads=1)
-            out = {"row": [], "n_a": [], "n_b": [], "n_groups": [], "n_links": [], "groups_sha256": [], "pair": [], "links": []}
-            for row, text, ea, eb in zip(batch["row"], texts, a_all, b_all):
-                a, b, ga, gb = both.align(text, ea.ids, eb)
-                keys, counts = both.pairs(a, b, ga, gb)
-                for name, value in (("row", row), ("n_a", len(a)), ("n_b", len(b)), ("n_groups", len(ga)), ("n_links", int((ga * gb).sum())),
-                                    ("groups_sha256", both.digest(a, b, ga, gb)), ("pair", keys), ("links", counts)):
-                    out[name].append(value)
-            yield pd.DataFrame(out)
+            rows, texts = batch["row"].tolist(), [t if isinstance(t, str) else "" for t in batch["text"]]
+            for at in range(0, len(texts), CHUNK):  # encodings of few texts live at once
+                chunk = texts[at : at + CHUNK]
+                a_all = [e.ids for e in both.a.encode_batch([" " + t for t in chunk], add_special_tokens=False)]
+                b_all = both.b.encode(chunk, num_threads=1)
+                out = {"row": [], "n_a": [], "n_b": [], "n_groups": [], "n_links": [], "groups_sha256": [], "pair": [], "links": []}
+                for row, text, ea, eb in zip(rows[at : at + CHUNK], chunk, a_all, b_all):
+                    a, b, ga, gb, digest = both.align(text, ea, eb)
+                    keys, counts = both.pairs(a, b, ga, gb)
+                    for name, value in (("row", row), ("n_a", len(a)), ("n_b", len(b)), ("n_groups", len(ga)), ("n_links", int((ga * gb).sum())),
+                                        ("groups_sha256", digest), ("pair", keys), ("links", counts)):
+                        out[name].append(value)
+                yield pd.DataFrame(out)
 
     return run
 
