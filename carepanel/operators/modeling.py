@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from carepanel.functions.numeric import rounded
+from carepanel.functions.quantiles import exact_quantiles
 from carepanel.operators import curves
 from carepanel.operators.drivers import LinearTerm
 from carepanel.operators.encounter_features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
@@ -27,6 +29,8 @@ KINDS = ["logreg", "gbm"]
 DEFAULT_CHAMPION = "gbm"
 BOOSTING = {"maxIter": 400, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"}
 LOGISTIC_ITERATIONS = 1000
+#: How the median fill stage writes a column's fill value; ``linear_terms`` reads the values back from it.
+MEDIAN_FILL = re.compile(r"CAST\('([^']*)' AS DOUBLE\)\) AS `([^`]*)_n`")
 WEIGHT, FEATURES = "row_weight", "features"
 
 
@@ -88,16 +92,19 @@ def _most_frequent(train: DataFrame, columns: list[str]) -> dict[str, str]:
 
 
 def preprocessing(train: DataFrame, numeric: list[str], categorical: list[str]) -> list:
-    """Stages fit on training rows only: median fill and scaling, mode fill and one-hot.
+    """Stages fit on training rows only: exact median fill and scaling, mode fill and one-hot.
 
-    A level not seen in training gets an all-zero vector.
+    Medians come from distributed selection (``exact_quantiles``), not from a sketch; a column without any value in
+    training is filled with 0. A level not seen in training gets an all-zero vector.
     """
     modes = _most_frequent(train, categorical)
+    medians = exact_quantiles(train, numeric, [0.5]) if numeric else {}
     quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
     filled = ", ".join(f"coalesce(`{c}`, {quoted(modes[c])}) AS `{c}_f`" for c in categorical)
+    numbers = ", ".join(f"coalesce(CAST(`{c}` AS DOUBLE), CAST('{(medians[c][0] or 0.0)!r}' AS DOUBLE)) AS `{c}_n`" for c in numeric)
     return [
         SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-        Imputer(strategy="median", relativeError=0.0001, inputCols=numeric, outputCols=[f"{c}_n" for c in numeric]),
+        SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"),
         VectorAssembler(inputCols=[f"{c}_n" for c in numeric], outputCol="numbers"),
         StandardScaler(withMean=True, withStd=True, inputCol="numbers", outputCol="numbers_scaled"),
         StringIndexer(
@@ -170,13 +177,13 @@ def linear_terms(model: PipelineModel, train: DataFrame, numeric: list[str] = NU
     coefficients and means (one number per level) come to the driver.
     """
     stages = model.stages
-    imputer = next(s for s in stages if "Imputer" in type(s).__name__)
+    fills = next(s for s in stages if "SQLTransformer" in type(s).__name__ and "AS DOUBLE)) AS" in s.getStatement())
     scaler = next(s for s in stages if "StandardScaler" in type(s).__name__)
     indexer = next(s for s in stages if "StringIndexer" in type(s).__name__)
     weights = stages[-1].coefficients.toArray()
     transformed = model.transform(train.withColumn(WEIGHT, F.lit(1.0)))
     means = transformed.agg(Summarizer.mean(F.col(FEATURES)).alias("m")).first()["m"].toArray()
-    medians = imputer.surrogateDF.first().asDict()
+    medians = {name: float(value) for value, name in MEDIAN_FILL.findall(fills.getStatement())}
     terms, slot = [], 0
     for i, name in enumerate(numeric):
         std = float(scaler.std[i]) or 1.0
