@@ -18,7 +18,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepanel.sources.sinks import _hadoop_path, list_names
+from carepanel.sources.sinks import create_exclusive, list_names, read_file
 
 SCHEMA = "patient_id BIGINT, last_contacted DATE"
 
@@ -43,35 +43,13 @@ CLAIMS, DECIDED = "_claims", "_decided"
 COMMITTED, ABANDONED = ord("c"), ord("a")
 
 
-def _file_system(spark: SparkSession, path: str):
-    target = _hadoop_path(spark, path)
-    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def _create_new(spark: SparkSession, path: str, mark: int | None = None) -> bool:
-    """Create a file only if it does not exist yet; False when another writer has it."""
-    target, fs = _file_system(spark, path)
-    try:
-        out = fs.create(target, False)
-    except Exception as error:  # the JVM's FileAlreadyExistsException (or IOException on some file systems)
-        if fs.exists(target):
-            return False
-        raise error
-    if mark is not None:
-        out.write(mark)
-    out.close()
-    return True
+    return create_exclusive(spark, path, b"" if mark is None else bytes([mark]))
 
 
 def _decision(spark: SparkSession, root: str, version: int) -> int | None:
-    target, fs = _file_system(spark, f"{root}/{DECIDED}/v{version:06d}")
-    if not fs.exists(target):
-        return None
-    stream = fs.open(target)
-    try:
-        return stream.read()
-    finally:
-        stream.close()
+    data = read_file(spark, f"{root}/{DECIDED}/v{version:06d}")
+    return data[0] if data else None
 
 
 def _numbers(spark: SparkSession, folder: str) -> set[int]:

@@ -10,6 +10,7 @@ from carepanel.operators import measures as ms
 from carepanel.operators import panel_views as pv
 from carepanel.operators import population_report as rep
 from carepanel.plans import population_job
+from carepanel.sources import sinks
 from carepanel.sources.fixture_views import view
 
 
@@ -52,6 +53,6 @@ def test_outputs(spark, sf_dir, tmp_path):
     snapshot = json.loads(text)
     assert len(snapshot["hedis_measures"]) == 10
     assert sum(snapshot["risk_tier_counts"].values()) == snapshot["population_size"] == 150
-    gaps = spark.read.option("header", True).csv(str(tmp_path / "care_gaps"))
+    gaps = sinks.read_published(spark, str(tmp_path), "care_gaps")
     assert gaps.count() == snapshot["total_care_gaps"]
     assert gaps.agg(F.countDistinct("patient_token")).first()[0] == snapshot["patients_with_gaps"]

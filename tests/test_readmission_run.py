@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carepanel.operators import cleaning, modeling
 from carepanel.operators import encounter_features as ef
 from carepanel.plans import readmission_job
+from carepanel.sources import sinks
 from carepanel.sources.fixture_views import view
 
 SHORT = {"logreg": {"maxIter": 20}, "gbm": {"maxIter": 2}}
@@ -27,7 +28,7 @@ def test_run_writes_every_table(spark, sf_dir, tmp_path):
     assert document["champion"] == champion and set(document["models"]) == {"logreg", "gbm"}
     again = modeling.predict(modeling.load_champion(root), features, [cleaning.PATIENT])
     assert again.count() == features.count()
-    sweep = spark.read.option("header", True).csv(f"{root}/threshold_sweep")
+    sweep = sinks.read_published(spark, root, "threshold_sweep")
     assert sweep.count() == 101
     assert modeling.saved_champion(spark, f"{root}/nowhere") == "gbm"
 

@@ -11,6 +11,7 @@ from carepanel.operators import resources as rs
 from carepanel.operators.rule_risk import TIER_EDGES, TIER_LABELS
 from carepanel.functions.numeric import right_closed_band
 from carepanel.plans import resource_job
+from carepanel.sources import sinks
 from carepanel.sources.resources import read_resources, split_corrupt
 
 LOINC = "http://loinc.org"
@@ -164,7 +165,7 @@ def test_run_from_exports(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "job" / "features"))
     assert snapshot.endswith("v001") and stored.count() == 3
     assert rows(spark.read.text(str(tmp_path / "job" / "quarantine" / "Condition"))) == [("broken",)]
-    assert spark.read.option("header", True).csv(str(tmp_path / "job" / "quality" / "validity")).count() == 3
+    assert sinks.read_published(spark, str(tmp_path / "job"), "quality/validity").count() == 3
     first = resource_job.run_from_exports(spark, paths, "2024-04-01", cohort_size=1)
     assert [r.state for r in first.collect()] == ["MA"]
     out = resource_job.run_from_exports(spark, paths, "2024-04-01")

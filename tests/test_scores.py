@@ -182,14 +182,27 @@ def test_versioned_sink(spark, tmp_path):
     assert sinks.write_versioned(df, root).endswith("v001")
     assert sinks.write_versioned(df.where("i = 2"), root).endswith("v002")
     read = lambda name: spark.read.option("header", True).csv(f"{root}/{name}").count()
-    assert (read("v001"), read("v002"), read("LATEST")) == (2, 1, 1)
+    assert (read("v001"), read("v002"), sinks.read_latest(spark, root).count()) == (2, 1, 1)
     odd = [(1, "a\nb"), (2, 'say "hi", ok'), (3, ""), (4, None), (5, " sp "), (6, "back\\slash")]
     snapshot = sinks.write_versioned(spark.createDataFrame(odd, "i int, s string"), root)
-    files = lambda path: sorted(p.read_text() for p in Path(path).glob("part-*"))
-    assert files(snapshot) == files(f"{root}/LATEST")
-    options = {"header": True, "multiLine": True, "escape": '"', "nullValue": "\\N"}
-    back = {int(r.i): r.s for r in spark.read.options(**options).csv(f"{root}/LATEST").collect()}
-    assert back[1] == "a\nb" and back[2] == 'say "hi", ok' and back[5] == " sp " and back[6] == "back\\slash" and back[3] == ""
+    assert sinks.latest_manifest(spark, root)["tables"]["snapshot"]["path"] == snapshot
+    assert not (Path(root) / "LATEST").exists()  # a pointer, never a folder written over
+    back = {r.i: r.s for r in sinks.read_latest(spark, root).collect()}
+    assert back == dict(odd)
+
+
+def test_a_failed_run_leaves_the_old_set_readable(spark, tmp_path):
+    root = str(tmp_path / "set")
+    one = spark.createDataFrame([(1, "x")], "i int, s string")
+    assert sinks.write_tables({"a": one, "b": one, "empty": one.limit(0)}, root, skip_empty=True) == ["a", "b"]
+    broken = spark.range(3).selectExpr("CAST(id AS INT) AS i", "CAST(raise_error('lost executor') AS STRING) AS s")
+    with pytest.raises(Exception):
+        sinks.write_tables({"a": one.union(one), "b": broken}, root)
+    assert sinks.read_published(spark, root, "a").count() == 1 and sinks.read_published(spark, root, "b").count() == 1
+    with pytest.raises(KeyError):
+        sinks.read_published(spark, root, "empty")
+    sinks.write_tables({"a": one.union(one)}, root)
+    assert sinks.read_published(spark, root, "a").count() == 2
 
 
 def test_contact_log_writers_from_one_version_both_survive(spark, tmp_path):
