@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carepanel.functions.arrays import to_rows
+from carepanel.operators import lexicon as lx
 from carepanel.operators import notes as nt
 from carepanel.plans.note_job import spread
 from carepanel.sources.fixture_views import view
@@ -44,9 +45,16 @@ def sentence_assertions(spark, d):
 
 
 def entity_rows(spark, d):
-    found = _notes(spark, d).select("note_id", nt.sections(F.col("note_text")).alias("parts"))
-    rows = to_rows(found, nt.lexicon_entities(F.col("parts")), "note_id", alias="e")
-    return rows.select("note_id", "e.text", "e.entity_type", "e.assertion", "e.section", "e.sentence", "e.confidence")
+    """Every lexicon term in each sentence of the diagnostic sections, terms inside longer ones too: the lexicon is a
+    table, joined by token n-grams."""
+    lexicon = lx.lexicon_of_pairs(spark, nt.default_lexicon())
+    return lx.lexicon_entities(_notes(spark, d), lexicon, resolve="all")
+
+
+def longest_entity_rows(spark, d):
+    """Entities as non-overlapping spans, the longest term at each place, as an entity recogniser gives them."""
+    lexicon = lx.lexicon_of_pairs(spark, nt.default_lexicon())
+    return lx.lexicon_entities(_notes(spark, d), lexicon, resolve="longest")
 
 
 def social(spark, d):
@@ -112,6 +120,7 @@ QUERIES = {
     "b02_sections": section_rows,
     "b03_assertions": sentence_assertions,
     "b04_lexicon_entities": entity_rows,
+    "b04_longest_entities": longest_entity_rows,
     "b05_social_signals": social,
     "b06_referrals": referral_lists,
     "b07_follow_ups": follow_up_lists,
