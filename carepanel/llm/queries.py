@@ -91,7 +91,11 @@ def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.aligned_documents(
-        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        ranks_a=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern_a=public_tokenizers.PATTERN,
     )
 
 

@@ -13,6 +13,7 @@ budget of 1400, as most windows hold several tokens on both sides. So the groups
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import os
 from collections.abc import Iterator
@@ -45,7 +46,7 @@ def _byte_level_table() -> dict[str, int]:
 class Tokenizers:
     """Both tokenizers with the bytes of every id, whether an id starts with a space, and its decimal form."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, ranks_a: str | None = None, pattern_a: str | None = None):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -57,6 +58,17 @@ class Tokenizers:
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.a_bytes[i] = bytes(table[c] for c in token) if all(c in table for c in token) else token.encode()
+        self.fast_a = None
+        if ranks_a:  # the same vocabulary as ranks: a faster engine for the same ids, checked id by id
+            import tiktoken
+
+            with open(ranks_a, "rb") as file:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+            added = {t.content for t in self.a.get_added_tokens_decoder().values()}
+            plain = {i for token, i in vocab.items() if token not in added}
+            if set(ranks.values()) != plain or any(self.a_bytes[i] != token for token, i in ranks.items()):
+                raise ValueError(f"{ranks_a} does not hold the vocabulary of {path_a}")
+            self.fast_a = tiktoken.Encoding("same", pat_str=pattern_a, mergeable_ranks=ranks, special_tokens={})
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -70,6 +82,12 @@ class Tokenizers:
         self.b_str = [str(i) for i in range(self.b_size)]
         self.a_names, self.b_names = np.array(self.a_str, object), np.array(self.b_str, object)
 
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """A's ids without special tokens (their strings are plain text)."""
+        if self.fast_a is not None:
+            return self.fast_a.encode_ordinary_batch(texts, num_threads=1)
+        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+
     def align(self, text: str | None, a_ids: list[int], b_ids: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]:
         """(A ids, B ids, A tokens per group, B tokens per group, digest); all empty when the text is null or empty or
         when either side's bytes do not join to space + text.
@@ -133,19 +151,19 @@ class Tokenizers:
 
 
 @cache
-def tokenizers(path_a: str, path_b: str) -> Tokenizers:
-    return Tokenizers(path_a, path_b)
+def tokenizers(path_a: str, path_b: str, ranks_a: str | None = None, pattern_a: str | None = None) -> Tokenizers:
+    return Tokenizers(path_a, path_b, ranks_a, pattern_a)
 
 
-def _aligned(path_a: str, path_b: str):
+def _aligned(path_a: str, path_b: str, ranks_a: str | None, pattern_a: str | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of parallelism; threads only add CPU
-        both = tokenizers(path_a, path_b)
+        both = tokenizers(path_a, path_b, ranks_a, pattern_a)
         for batch in batches:
             rows, texts = batch["row"].tolist(), [t if isinstance(t, str) else "" for t in batch["text"]]
             for at in range(0, len(texts), CHUNK):  # encodings of few texts live at once
                 chunk = texts[at : at + CHUNK]
-                a_all = [e.ids for e in both.a.encode_batch([" " + t for t in chunk], add_special_tokens=False)]
+                a_all = both.encode_a([" " + t for t in chunk])
                 b_all = both.b.encode(chunk, num_threads=1)
                 out = {"row": [], "n_a": [], "n_b": [], "n_groups": [], "n_links": [], "groups_sha256": [], "pair": [], "links": []}
                 for row, text, ea, eb in zip(rows[at : at + CHUNK], chunk, a_all, b_all):
@@ -159,7 +177,9 @@ def _aligned(path_a: str, path_b: str):
     return run
 
 
-def aligned_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def aligned_documents(
+    docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", ranks_a: str | None = None, pattern_a: str | None = None
+) -> DataFrame:
     """Per document row (every row, repeated ids included): id, n_a, n_b, n_groups, n_links, n_best, count_sum (long)
     and groups_sha256.
 
@@ -173,9 +193,9 @@ def aligned_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("row", F.monotonically_increasing_id())
     rows = stored(rows, "align-input")
     schema = "row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair array<long>, links array<long>"
-    aligned = stored(rows.select("row", "text").mapInPandas(_aligned(path_a, path_b), schema), "align-docs")
+    aligned = stored(rows.select("row", "text").mapInPandas(_aligned(path_a, path_b, ranks_a, pattern_a), schema), "align-docs")
     links = aligned.select("row", F.explode(F.arrays_zip("pair", "links")).alias("p")).select("row", "p.pair", "p.links")
-    size = tokenizers(path_a, path_b).b_size
+    size = tokenizers(path_a, path_b, ranks_a, pattern_a).b_size
     counts = links.groupBy("pair").agg(F.count(F.lit(1)).alias("docs")).withColumn("a", F.floor(F.col("pair") / size))
     best = counts.groupBy("a").agg(F.max("docs").alias("top"))
     judged = counts.join(best, "a").select("pair", "docs", (F.col("docs") == F.col("top")).alias("best"))

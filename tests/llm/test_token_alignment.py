@@ -83,6 +83,12 @@ def test_windows_give_the_whole_document_alignment():
     assert digest == brute([text])[0][6]
 
 
+def test_the_fast_engine_gives_the_same_rows(spark, make_docs):
+    docs = make_docs(list(enumerate(TEXTS)))
+    fast = token_alignment.aligned_documents(docs, A, B, ranks_a=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern_a=public_tokenizers.PATTERN)
+    assert sorted(tuple(r) for r in fast.collect()) == sorted(tuple(r) for r in token_alignment.aligned_documents(docs, A, B).collect())
+
+
 def test_empty_table(spark, no_docs):
     assert token_alignment.aligned_documents(no_docs, A, B).count() == 0
 
