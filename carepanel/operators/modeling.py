@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,6 +30,8 @@ KINDS = ["logreg", "gbm"]
 DEFAULT_CHAMPION = "gbm"
 BOOSTING = {"maxIter": 400, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"}
 LOGISTIC_ITERATIONS = 1000
+#: Folds fitted at the same time from driver threads.
+FIT_THREADS = 2
 #: How the median fill stage writes a column's fill value; ``linear_terms`` reads the values back from it.
 MEDIAN_FILL = re.compile(r"CAST\('([^']*)' AS DOUBLE\)\) AS `([^`]*)_n`")
 WEIGHT, FEATURES = "row_weight", "features"
@@ -159,14 +162,26 @@ def compare_models(
 
 
 def out_of_fold(
-    features: DataFrame, id_col: str, label: str, kind: str = DEFAULT_CHAMPION, folds: int = FOLDS, keep: tuple[str, ...] = (), **overrides
-) -> DataFrame:
-    """Every patient scored by a model that did not see that patient; ``keep`` names columns to carry along."""
+    features: DataFrame, id_col: str, label: str, kind: str = DEFAULT_CHAMPION, folds: int = FOLDS, keep: tuple[str, ...] = (),
+    side_by_side: int = FIT_THREADS, **overrides,
+) -> DataFrame:
+    """Every patient scored by a model that did not see that patient, with ``n_train``: the rows that model was
+    trained on. ``keep`` names columns to carry along.
+
+    The folded rows are stored once; the folds' models are fitted side by side from a bounded pool of driver threads
+    (at most ``side_by_side`` Spark jobs at a time), each on its training rows of the one stored table.
+    """
     folded = settled(with_folds(features, id_col, label, folds))
-    scored = []
-    for k in range(folds):
+    sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+
+    def scored_fold(k: int) -> DataFrame:
         model = fit(folded.where(F.col("fold") != k), label, kind, **overrides)
-        scored.append(predict(model, folded.where(F.col("fold") == k), [id_col, label, "fold", *keep]))
+        rows = predict(model, folded.where(F.col("fold") == k), [id_col, label, "fold", *keep])
+        return rows.withColumn("n_train", F.lit(total - sizes.get(k, 0)).cast("long"))
+
+    with ThreadPoolExecutor(max(1, side_by_side)) as pool:
+        scored = list(pool.map(scored_fold, range(folds)))
     return reduce(DataFrame.unionByName, scored)
 
 

@@ -44,8 +44,15 @@ def logistic_gradient(spark, d):
 
 
 def out_of_fold(spark, d):
+    """Every patient scored once, by the logistic model of the other folds, and how many rows that model saw."""
     scored = modeling.out_of_fold(_features(spark, d), PATIENT, TARGET, "logreg")
-    return scored.select(PATIENT, TARGET, "fold", F.col("probability").between(0, 1).alias("scored"))
+    return scored.select(PATIENT, TARGET, "fold", "n_train", F.col("probability").between(0, 1).alias("scored"))
+
+
+def out_of_fold_boosted(spark, d):
+    """As ``out_of_fold`` for the boosted trees with all their rounds (the champion of the readmission run)."""
+    scored = modeling.out_of_fold(_features(spark, d), PATIENT, TARGET, "gbm")
+    return scored.select(PATIENT, TARGET, "fold", "n_train", F.col("probability").between(0, 1).alias("scored"))
 
 
 def contribution_identity(spark, d):
@@ -83,6 +90,7 @@ QUERIES = {
     "d25_logistic_gradient": logistic_gradient,
     "d24_preprocessing": prepared_numbers,
     "d34_out_of_fold": out_of_fold,
+    "d34_out_of_fold_boosted": out_of_fold_boosted,
     "d43_contributions_add_up": contribution_identity,
     "d45_model_top_factors": model_top_factors,
 }

@@ -4,6 +4,7 @@ from carepanel.operators.encounter_features import CATEGORICAL_FEATURES, NUMERIC
 from duckcheck.readmission_checks import FOLDED, F_
 
 _SCALED = ", ".join(f"round(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0), 6) + CAST(0 AS DOUBLE) AS {c}" for c in NUMERIC_FEATURES)
+_N_TRAIN = "count(*) OVER () - count(*) OVER (PARTITION BY fold)"
 _LEVELS = " + ".join(f"(SELECT count(DISTINCT {c}) FROM feats)" for c in CATEGORICAL_FEATURES)
 
 CHECKS = {
@@ -11,6 +12,7 @@ CHECKS = {
         count(*) FILTER (readmit_30d = 0) AS negatives, true AS auroc_in_range FROM folded WHERE fold = 0""",
     "d24_preprocessing": F_ + f"SELECT patient_nbr, {_SCALED}, CAST({len(NUMERIC_FEATURES)} + {_LEVELS} AS INT) AS width FROM feats",
     "d25_logistic_gradient": F_ + f"SELECT CAST(unnest(range({len(NUMERIC_FEATURES)} + {_LEVELS})) AS INT) AS feature, true AS at_optimum",
-    "d34_out_of_fold": F_ + f", {FOLDED} SELECT patient_nbr, readmit_30d, fold, true AS scored FROM folded",
+    "d34_out_of_fold": F_ + f", {FOLDED} SELECT patient_nbr, readmit_30d, fold, {_N_TRAIN} AS n_train, true AS scored FROM folded",
+    "d34_out_of_fold_boosted": F_ + f", {FOLDED} SELECT patient_nbr, readmit_30d, fold, {_N_TRAIN} AS n_train, true AS scored FROM folded",
     "d43_contributions_add_up": F_ + "SELECT patient_nbr, true AS adds_up FROM feats",
 }
