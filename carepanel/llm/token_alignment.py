@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from carepanel.llm.shared import ship_package, stored
 
 CHUNK = 100  # texts encoded together, so that few encodings live at once
+PAIR_BYTES, BROADCAST_BYTES = 48, 256 << 20  # a judged pair in memory, at most; the most a broadcast may take
 
 
 def _byte_level_table() -> dict[str, int]:
@@ -190,16 +191,18 @@ def aligned_documents(
     """
     spark = docs.sparkSession
     ship_package(spark)
+    # Row numbers of a scan are the same in both reads below (they follow the input's splits), so texts are not copied.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("row", F.monotonically_increasing_id())
-    rows = stored(rows, "align-input")
     schema = "row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair array<long>, links array<long>"
     aligned = stored(rows.select("row", "text").mapInPandas(_aligned(path_a, path_b, ranks_a, pattern_a), schema), "align-docs")
     links = aligned.select("row", F.explode(F.arrays_zip("pair", "links")).alias("p")).select("row", "p.pair", "p.links")
     size = tokenizers(path_a, path_b, ranks_a, pattern_a).b_size
     counts = links.groupBy("pair").agg(F.count(F.lit(1)).alias("docs")).withColumn("a", F.floor(F.col("pair") / size))
     best = counts.groupBy("a").agg(F.max("docs").alias("top"))
-    judged = counts.join(best, "a").select("pair", "docs", (F.col("docs") == F.col("top")).alias("best"))
-    per_doc = links.join(judged, "pair").groupBy("row").agg(
+    judged = stored(counts.join(best, "a").select("pair", "docs", (F.col("docs") == F.col("top")).alias("best")), "align-pairs")
+    # one row per distinct linked pair: broadcast only below a measured size, else the links shuffle by pair
+    small = judged.count() * PAIR_BYTES <= BROADCAST_BYTES
+    per_doc = links.join(F.broadcast(judged) if small else judged, "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).cast("long").alias("n_best"),
         F.sum(F.col("links") * F.col("docs")).cast("long").alias("count_sum"),
     )
