@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carepanel.plans import export_queries, model_queries, note_queries, population_queries, readmission_queries, resource_queries
+from carepanel.plans import export_queries, ingest_queries, model_queries, note_queries, population_queries, readmission_queries, resource_queries
 
-MODULES = [resource_queries, note_queries, population_queries, readmission_queries, model_queries, export_queries]
+MODULES = [resource_queries, note_queries, population_queries, readmission_queries, model_queries, export_queries, ingest_queries]
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -88,3 +88,16 @@ def test_first_encounter_under_one_dominant_patient(spark):
     rest = spark.range(4000, 6000).selectExpr("id AS encounter_id", "id AS patient_nbr")
     out = cleaning.first_encounters(hot.unionByName(rest))
     assert out.count() == 2001 and out.where("patient_nbr = 7").first().encounter_id == 0
+
+
+def test_csv_read_by_its_own_header(spark, tmp_path):
+    from carepanel.sources.encounters import read_csv_by_header
+
+    path = tmp_path / "enc.csv"
+    path.write_text('readmitted,extra,patient_nbr,encounter_id\nNO,"two\nlines",7,1\n<30,,8\n>30,x,9,3,too many\n"",y,10,4\n')
+    rows, broken = read_csv_by_header(spark, str(path), ["encounter_id", "patient_nbr", "readmitted"])
+    assert rows.columns == ["readmitted", "extra", "patient_nbr", "encounter_id"]
+    assert sorted(tuple(r) for r in rows.collect()) == [("", "y", "10", "4"), ("NO", "two\nlines", "7", "1")]
+    assert sorted(r.record for r in broken.collect()) == ["<30,,8", ">30,x,9,3,too many"]
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_csv_by_header(spark, str(path), ["encounter_id", "admission_type_id"])
