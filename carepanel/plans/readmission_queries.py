@@ -216,6 +216,22 @@ def bi_facts(spark, d):
     return bi_export.patient_level(scores, _features(spark, d), cleaning.PATIENT, cleaning.TARGET)
 
 
+def fairness_report_rows(spark, d):
+    """D55: the nested audit report, one row per attribute: its subgroup records (counted, summed, the first one's
+    size) and its gaps, as the JSON document carries them."""
+    report = fairness.report(_subgroups(spark, d))
+    return report.select(
+        "attribute",
+        F.size("subgroups").cast("long").alias("n_subgroups"),
+        F.aggregate("subgroups", F.lit(0).cast("long"), lambda total, r: total + r["n"]).alias("patients"),
+        F.col("subgroups")[0]["n"].cast("long").alias("largest_n"),
+        "equal_opportunity_diff",
+        "demographic_parity_diff",
+        "worst_fnr_subgroup",
+        "worst_fnr",
+    )
+
+
 def bi_fact_rows(spark, d):
     return bi_facts(spark, d).select(
         "patient_id", "risk_score", "tier", "predicted_label", F.col("actual_readmit_30d").cast("double"),
@@ -308,6 +324,7 @@ QUERIES = {
     "d52_d53_d55_subgroups": _subgroups,
     "d53_subgroups_of_scores": _subgroups_of_scores,
     "d54_fairness_gaps": lambda s, d: fairness.fairness_gaps(_subgroups(s, d)),
+    "d55_fairness_report": fairness_report_rows,
     "d56_d57_patient_level": bi_fact_rows,
     "d58_observed_tier_summary": observed_tiers,
     "d59_fairness_long": lambda s, d: bi_export.fairness_long([_subgroups(s, d), _subgroups_of_scores(s, d)]),
