@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from carepanel.operators import cleaning, drivers, modeling
 from carepanel.operators import encounter_features as ef
+from carepanel.sources import model_registry
 from carepanel.sources.fixture_views import view
-from carepanel.sources.scratch import settled
+from carepanel.sources.scratch import ensure_checkpoint_dir, settled
 
 PATIENT, TARGET = cleaning.PATIENT, cleaning.TARGET
 
@@ -85,6 +88,19 @@ def model_top_factors(spark, d):
     return drivers.top_factors(explained, PATIENT)
 
 
+def registered_model(spark, d):
+    """D33: a model stored in the registry and loaded back for the same rows scores every patient as the fitted one."""
+    features = settled(_features(spark, d))
+    model = modeling.fit(features, TARGET, "logreg")
+    columns = [*ef.NUMERIC_FEATURES, *ef.CATEGORICAL_FEATURES]
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
+    model_registry.register(model, features, columns, root, "readmission")
+    loaded = model_registry.load_for(spark, features, root, "readmission")
+    fitted = modeling.predict(model, features, [PATIENT]).withColumnRenamed("probability", "fitted")
+    again = modeling.predict(loaded, features, [PATIENT]).withColumnRenamed("probability", "loaded")
+    return fitted.join(again, PATIENT).select(PATIENT, (F.col("fitted") == F.col("loaded")).alias("same_probability"))
+
+
 def prepared_numbers(spark, d):
     """All scaled numbers of every patient and the width of the vector, as the fitted preprocessing gives them."""
     features = _features(spark, d)
@@ -102,6 +118,7 @@ QUERIES = {
     "d24_preprocessing": prepared_numbers,
     "d34_out_of_fold": out_of_fold,
     "d34_out_of_fold_boosted": out_of_fold_boosted,
+    "d33_registered_model": registered_model,
     "d43_contributions_add_up": contribution_identity,
     "d45_model_top_factors": model_top_factors,
 }

@@ -3,6 +3,7 @@
 import json
 
 from conftest import rows
+import pytest
 from pyspark.sql import functions as F
 
 from carepanel.operators import cleaning, modeling
@@ -50,3 +51,24 @@ def test_split_is_stable_and_about_a_fifth(spark):
         sizes = [r["count"] for r in folds if r.label == label]
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
     assert abs(sum(t for *_, t in first) - 1000) <= 2
+
+
+def test_registry_refuses_a_changed_schema(spark, sf_dir, tmp_path):
+    from carepanel.operators import encounter_features as ef
+    from carepanel.plans.model_queries import _features
+    from carepanel.sources import model_registry
+
+    features = _features(spark, sf_dir)
+    model = modeling.fit(features, cleaning.TARGET, "logreg")
+    columns = [*ef.NUMERIC_FEATURES, *ef.CATEGORICAL_FEATURES]
+    root = str(tmp_path / "registry")
+    assert model_registry.register(model, features, columns, root, "m") == 1
+    assert model_registry.register(model, features, columns, root, "m") == 2
+    loaded = model_registry.load_for(spark, features, root, "m")
+    same = modeling.predict(loaded, features, [cleaning.PATIENT]).join(modeling.predict(model, features, [cleaning.PATIENT]).withColumnRenamed("probability", "p"), cleaning.PATIENT)
+    assert same.where("probability != p").count() == 0
+    changed = features.withColumn(ef.NUMERIC_FEATURES[0], F.col(ef.NUMERIC_FEATURES[0]).cast("string"))
+    with pytest.raises(ValueError, match="differs"):
+        model_registry.load_for(spark, changed, root, "m")
+    with pytest.raises(ValueError, match="lack"):
+        model_registry.load_for(spark, features.drop(ef.CATEGORICAL_FEATURES[0]), root, "m")
