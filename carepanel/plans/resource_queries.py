@@ -10,6 +10,7 @@ from carepanel.operators import privacy, quality, rule_risk
 from carepanel.operators import resources as rs
 from carepanel.plans import resource_job
 from carepanel.sources.fixture_views import sql_over, view
+from carepanel.sources import resources as rs_source
 from carepanel.sources.resources import parse_resources, split_corrupt
 
 AS_OF = "2024-04-01"
@@ -118,6 +119,25 @@ def scan_quarantine(spark, d):
     return kept.unionByName(bad.groupBy(F.lit("quarantined").alias("outcome")).agg(F.count("*").alias("records")))
 
 
+def failed_records(spark, d):
+    """A25: every condition record the intake cannot use, counted by reason, field, type and whether it names a patient."""
+    failed = rs_source.failed_records(_json(spark, d, CONDITION_JSON, "Condition"), "Condition")
+    return failed.groupBy("reason", "path", "resource_type", F.col("patient").isNotNull().alias("names_patient")).agg(
+        F.count(F.lit(1)).alias("records")
+    )
+
+
+def failed_patients(spark, d):
+    """A25: the patients with a failed record, and their good condition records set aside with them."""
+    resources = _json(spark, d, CONDITION_JSON, "Condition")
+    failed = rs_source.failed_records(resources, "Condition")
+    good = rs_source.only_kind(resources, "Condition")
+    subject = F.col("subject.reference")
+    _, aside = rs_source.set_aside(good, failed, F.when(subject.startswith("Patient/"), F.substring_index(subject, "/", -1)))
+    patients = failed.where(F.col("patient").isNotNull()).agg(F.countDistinct("patient").alias("failed_patients"))
+    return patients.select("failed_patients", F.lit(aside.count()).cast("long").alias("records_set_aside"))
+
+
 def cohort(spark, d):
     conditions = view(spark, d, "conditions")
     return rs.cohort_patients(_patients(spark, d), conditions, "condition_id").select("patient_id", "state")
@@ -208,6 +228,8 @@ def dq_distribution(spark, d):
 QUERIES = {
     "a01_a25_scan_and_quarantine": scan_quarantine,
     "a02_cohort_semi_join": cohort,
+    "a25_failed_records": failed_records,
+    "a25_failed_patients": failed_patients,
     "a02_cohort_first_seen": cohort_first,
     "a03_condition_codings": condition_codings,
     "a04_a06_a15_observation_values": observation_values,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carepanel.functions.arrays import computed_once
-from carepanel.sources.schemas import CORRUPT, resource_schema
+from carepanel.sources.schemas import CORRUPT, RESOURCE_DDL, resource_schema
 
 
 FEED = "feed"
@@ -46,3 +47,60 @@ def split_corrupt(resources: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = resources.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = resources.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_record"))
     return good, bad
+
+
+#: Partial extraction from text that did not parse: the resource type and the patient it names.
+RAW_TYPE, RAW_PATIENT = r'"resourceType"\s*:\s*"([^"]*)"', r'"reference"\s*:\s*"Patient/([^"]*)"'
+
+
+def _failed_field(raw: Column, kind: str) -> Column:
+    """The first top-level field of the declared schema whose JSON value does not read as its declared type."""
+    checks = []
+    for field in T.StructType.fromDDL(RESOURCE_DDL[kind]).fields:
+        if isinstance(field.dataType, T.StringType):  # any JSON value reads as text
+            continue
+        value = F.get_json_object(raw, f"$.{field.name}")  # objects, arrays and numbers as JSON; strings without quotes
+        verbatim = value.rlike(r"^\s*[\[{]") | value.rlike(r"^-?[0-9][0-9.eE+-]*$") | value.isin("true", "false")
+        wrapped = F.when(verbatim, F.concat(F.lit('{"x":'), value, F.lit("}"))).otherwise(F.to_json(F.struct(value.alias("x"))))
+        alone = F.from_json(wrapped, T.StructType([T.StructField("x", field.dataType)]))
+        checks.append(F.when(value.isNotNull() & alone["x"].isNull(), F.lit(field.name)))
+    return F.coalesce(*checks) if checks else F.lit(None).cast("string")
+
+
+def failed_records(resources: DataFrame, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per record that the intake cannot use, with ``keep`` columns, the raw text (null when it parsed),
+    resource_type and patient (read from the parsed record or, for broken text, extracted from it), reason and path.
+
+    Reasons: ``syntax`` (not a JSON object), ``wrong type`` (JSON whose field ``path`` does not read as declared),
+    ``wrong resource`` (parsed, but not a ``kind``).
+    """
+    raw = F.col(CORRUPT)
+    is_json = F.from_json(raw, "map<string,string>").isNotNull()
+    broken = resources.where(raw.isNotNull()).select(
+        *keep,
+        raw.alias("raw_record"),
+        F.nullif(F.regexp_extract(raw, RAW_TYPE, 1), F.lit("")).alias("resource_type"),
+        F.nullif(F.regexp_extract(raw, RAW_PATIENT, 1), F.lit("")).alias("patient"),
+        F.when(is_json, "wrong type").otherwise("syntax").alias("reason"),
+        F.when(is_json, _failed_field(raw, kind)).alias("path"),
+    )
+    subject = F.col("subject.reference")
+    foreign = resources.where(raw.isNull() & ~F.coalesce(F.col("resourceType") == kind, F.lit(False))).select(
+        *keep,
+        F.lit(None).cast("string").alias("raw_record"),
+        F.col("resourceType").alias("resource_type"),
+        F.when(subject.startswith("Patient/"), F.substring_index(subject, "/", -1)).alias("patient"),
+        F.lit("wrong resource").alias("reason"),
+        F.lit(None).cast("string").alias("path"),
+    )
+    return broken.unionByName(foreign)
+
+
+def set_aside(good: DataFrame, failed: DataFrame, patient: Column) -> tuple[DataFrame, DataFrame]:
+    """(kept, aside): the good records of a patient who has a failed record go aside with it, as a failed patient is
+    skipped whole; records without a patient stay."""
+    failed_patients = failed.where(F.col("patient").isNotNull()).select(F.col("patient").alias("_failed")).distinct()
+    marked = good.withColumn("_patient", patient).join(failed_patients, F.col("_patient") == F.col("_failed"), "left")
+    kept = marked.where(F.col("_failed").isNull()).drop("_patient", "_failed")
+    aside = marked.where(F.col("_failed").isNotNull()).drop("_patient", "_failed")
+    return kept, aside

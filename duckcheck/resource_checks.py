@@ -123,6 +123,15 @@ _CODINGS = """SELECT CASE WHEN k % 41 = 3 THEN NULL ELSE CAST(c AS STRING) END A
 CHECKS = {
     "a01_a25_scan_and_quarantine": """SELECT outcome, count(*) AS records FROM (SELECT CASE WHEN l_orderkey % 97 = 5 THEN 'quarantined'
         WHEN l_orderkey % 50 = 7 THEN 'Patient' ELSE 'Condition' END AS outcome FROM lineitem JOIN orders ON l_orderkey = o_orderkey) GROUP BY 1""",
+    "a25_failed_records": """SELECT reason, path, resource_type, names_patient, count(*) AS records FROM (
+        SELECT CASE WHEN l_orderkey % 97 = 5 THEN 'syntax' ELSE 'wrong resource' END AS reason, CAST(NULL AS VARCHAR) AS path,
+        CASE WHEN l_orderkey % 97 = 5 THEN 'Condition' ELSE 'Patient' END AS resource_type,
+        CASE WHEN l_orderkey % 97 = 5 THEN false ELSE l_orderkey % 41 <> 3 END AS names_patient
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 97 = 5 OR l_orderkey % 50 = 7) GROUP BY ALL""",
+    "a25_failed_patients": """WITH src AS (SELECT l_orderkey, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+        failed AS (SELECT DISTINCT o_custkey FROM src WHERE l_orderkey % 97 <> 5 AND l_orderkey % 50 = 7 AND l_orderkey % 41 <> 3)
+        SELECT (SELECT count(*) FROM failed) AS failed_patients, (SELECT count(*) FROM src WHERE l_orderkey % 97 <> 5 AND l_orderkey % 50 <> 7
+        AND l_orderkey % 41 <> 3 AND o_custkey IN (SELECT o_custkey FROM failed)) AS records_set_aside""",
     "a02_cohort_semi_join": _with("patients", "conditions")
     + "SELECT patient_id, state FROM fx_patients WHERE patient_id IN (SELECT patient_id FROM fx_conditions)",
     "a02_cohort_first_seen": _with("conditions")

@@ -178,3 +178,26 @@ def test_run_from_exports(spark, tmp_path):
     assert (p1.num_inpatient_encounters, p1.avg_length_of_stay, p1.long_stay_history, p1.polypharmacy) == (3, 5.0, 1, 1)
     assert p1.uncontrolled_diabetes == 1 and p1.risk_score == 30 + 12 + 8 + 8 + 10 + 5 and p1.risk_tier == "HIGH"
     assert (p2.has_heart_failure, p2.num_active_medications, p2.hba1c_value, p2.risk_score) == (1, 0, None, 15)
+
+
+def test_failed_records_tell_why_and_take_their_patient_along(spark):
+    from carepanel.sources.resources import failed_records, only_kind, parse_resources, set_aside
+
+    texts = [
+        '{"resourceType":"Condition","id":"1","subject":{"reference":"Patient/p1"}}',
+        '{"resourceType":"Condition","id":"2","subject":{"reference":"Patient/p2"}}',
+        '{"resourceType":"Condition","id":"3","subject":5}',
+        '{"resourceType":"Condition","id":"4","subject":{"reference":"Patient/p2"},"code":',
+        '{"resourceType":"Patient","id":"p9","subject":{"reference":"Patient/p1"}}',
+        "not json at all",
+    ]
+    resources = parse_resources(spark.createDataFrame([(t,) for t in texts], "value string"), "Condition")
+    failed = failed_records(resources, "Condition")
+    got = sorted(((r.reason, r.path, r.resource_type, r.patient) for r in failed.collect()), key=repr)
+    assert got == sorted(
+        [("syntax", None, "Condition", "p2"), ("syntax", None, None, None), ("wrong resource", None, "Patient", "p1"), ("wrong type", "subject", "Condition", None)],
+        key=repr,
+    )
+    subject = F.col("subject.reference")
+    kept, aside = set_aside(only_kind(resources, "Condition"), failed, F.when(subject.startswith("Patient/"), F.substring_index(subject, "/", -1)))
+    assert [r.id for r in kept.collect()] == [] and sorted(r.id for r in aside.collect()) == ["1", "2"]
