@@ -5,29 +5,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from carepanel.functions.arrays import computed_once
 from carepanel.sources.schemas import CORRUPT, RESOURCE_DDL, resource_schema
 
 
 FEED = "feed"
+#: Read blocks (one row each) below which their first numbers are broadcast to the lines.
+BROADCAST_BLOCKS = 1_000_000
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Non-blank lines of a feed with ``feed``: their place in the feed, files by name, lines in file order (blank lines
+    keep their places, so numbers are unique and ordered but may skip).
+
+    Lines are counted per read block (file and block start); a prefix sum over the blocks in (file name, block start)
+    order gives each block its first number, and a line adds its place inside the block. The number does not depend
+    on split size, on how blocks are packed into tasks or on the number of executors. Only one row per block reaches
+    the window of the prefix sum.
+    """
+    read = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),  # rises along a task's lines; rows of one block are adjacent
+    )
+    blocks = read.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = read.join(F.broadcast(starts) if blocks.count() <= BROADCAST_BLOCKS else starts, ["_file", "_block"])
+    line = (F.col("_start") + F.col("_at") - F.col("_first")).alias(FEED)
+    return numbered.select("value", line).where(F.trim("value") != "")
 
 
 def read_resources(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Scan an NDJSON export of one resource type with its declared schema.
 
     Lines are read as text and parsed with the whole schema, so that whether a line is broken does not depend on
-    the columns that a later step asks for. Broken ones have ``_corrupt_record`` set; see ``split_corrupt``. ``feed`` is
-    the place of the line in the export: file (in an order fixed by a hash of the names), begin of the read block, and
-    a number that rises within the block. It does not depend on how blocks are packed into tasks.
+    the columns that a later step asks for. Broken ones have ``_corrupt_record`` set; see ``split_corrupt``. ``feed``
+    is the line's number in the export (``numbered_lines``).
     """
-    place = F.struct(
-        F.xxhash64("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    lines = spark.read.text(path).select("value", place.alias(FEED)).where(F.trim("value") != "")
-    return parse_resources(lines, kind, keep=(FEED,))
+    return parse_resources(numbered_lines(spark, path), kind, keep=(FEED,))
 
 
 def parse_resources(lines: DataFrame, kind: str, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -201,3 +201,20 @@ def test_failed_records_tell_why_and_take_their_patient_along(spark):
     subject = F.col("subject.reference")
     kept, aside = set_aside(only_kind(resources, "Condition"), failed, F.when(subject.startswith("Patient/"), F.substring_index(subject, "/", -1)))
     assert [r.id for r in kept.collect()] == [] and sorted(r.id for r in aside.collect()) == ["1", "2"]
+
+
+def test_feed_numbers_follow_file_names_and_lines_whatever_the_split(spark, tmp_path):
+    from carepanel.sources.resources import numbered_lines
+
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    for name, first in (("b.ndjson", 1000), ("a.ndjson", 0), ("c.ndjson", 2000)):
+        (folder / name).write_text("".join(f'{{"n": {first + i}, "pad": "{"x" * (i % 50)}"}}\n' + ("\n" if i % 97 == 0 else "") for i in range(700)))
+    expected = list(range(700)) + list(range(1000, 1700)) + list(range(2000, 2700))
+    for split in ("4k", "64k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        got = [r.n for r in numbered_lines(spark, str(folder)).select(F.get_json_object("value", "$.n").cast("int").alias("n"), "feed").orderBy("feed").collect()]
+        assert got == expected, split
+        feeds = sorted(r.feed for r in numbered_lines(spark, str(folder)).collect())
+        assert feeds == sorted(set(feeds))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
