@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from carepanel.operators import cleaning, drivers, modeling
+from carepanel.operators import cleaning, drivers, modeling, tree_drivers
 from carepanel.operators import encounter_features as ef
 from carepanel.sources import model_registry
 from carepanel.sources.fixture_views import view
@@ -81,6 +81,23 @@ def contribution_identity(spark, d):
     return with_offset.select(PATIENT, (F.abs(F.col("offset") - mean) < 1e-6).alias("adds_up"))
 
 
+def boosted_contributions(spark, d):
+    """D43 for the champion: each patient's tree contributions plus the bias equal the boosted model's own margin."""
+    features = _features(spark, d)
+    model = modeling.fit(features, TARGET, "gbm")
+    explained = tree_drivers.with_tree_contributions(model, features.withColumn(modeling.WEIGHT, F.lit(1.0)), ef.NUMERIC_FEATURES, ef.CATEGORICAL_FEATURES)
+    total = F.aggregate("contributions", F.col("bias"), lambda acc, c: acc + c["value"])
+    return explained.select(PATIENT, (F.abs(total - F.col("margin")) < 1e-6).alias("adds_up"))
+
+
+def boosted_top_factors(spark, d):
+    """D45, D47 for the champion: the three features that raise each patient's boosted margin most, as phrases."""
+    features = _features(spark, d)
+    model = modeling.fit(features, TARGET, "gbm")
+    explained = tree_drivers.with_tree_contributions(model, features.withColumn(modeling.WEIGHT, F.lit(1.0)), ef.NUMERIC_FEATURES, ef.CATEGORICAL_FEATURES)
+    return drivers.top_factors(explained, PATIENT)
+
+
 def model_top_factors(spark, d):
     features = _features(spark, d)
     model = modeling.fit(features, TARGET, "logreg")
@@ -120,5 +137,7 @@ QUERIES = {
     "d34_out_of_fold_boosted": out_of_fold_boosted,
     "d33_registered_model": registered_model,
     "d43_contributions_add_up": contribution_identity,
+    "d43_boosted_contributions_add_up": boosted_contributions,
+    "d45_boosted_top_factors": boosted_top_factors,
     "d45_model_top_factors": model_top_factors,
 }

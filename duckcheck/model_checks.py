@@ -16,4 +16,5 @@ CHECKS = {
     "d34_out_of_fold_boosted": F_ + f", {FOLDED} SELECT patient_nbr, readmit_30d, fold, {_N_TRAIN} AS n_train, true AS scored FROM folded",
     "d33_registered_model": F_ + "SELECT patient_nbr, true AS same_probability FROM feats",
     "d43_contributions_add_up": F_ + "SELECT patient_nbr, true AS adds_up FROM feats",
+    "d43_boosted_contributions_add_up": F_ + "SELECT patient_nbr, true AS adds_up FROM feats",
 }
