@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -195,6 +196,41 @@ def with_decoded(docs: DataFrame, path: str, ids_col: str = "ids", into: str = "
     return docs.withColumn(into, decoded(F.col(ids_col)))
 
 
+def _digests_of(parts: Iterator[tuple[np.ndarray, bool]], tables: MergeTables) -> Iterator[tuple[int, str, str]]:
+    """(n_tokens, ids_sha256, decoded_sha256) per text, updated part by part: no text's ids or decoded text are held."""
+    known = np.diff(tables.token_ends) > 1
+    count, ids_hash, text_hash, pending = 0, hashlib.sha256(), hashlib.sha256(), b""
+    for ids, ends in parts:
+        count += len(ids)
+        ids_hash.update(ids.astype("<u4").tobytes())
+        wide = ids.astype(np.int64)
+        wide = wide[wide < tables.size]
+        joined = tables.join(wide[known[wide]]) if len(wide) else b""
+        if joined:  # every token is followed by a space; the text's last one is dropped
+            text_hash.update(pending + joined[:-1])
+            pending = joined[-1:]
+        if ends:
+            yield count, ids_hash.hexdigest(), text_hash.hexdigest()
+            count, ids_hash, text_hash, pending = 0, hashlib.sha256(), hashlib.sha256(), b""
+
+
+def encoded_digests(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """Per row: id, n_tokens, ids_sha256 and decoded_sha256, as ``digests(with_decoded(with_ids(...)))`` gives them,
+    in one pass of one Python worker that returns only the three values (null and empty texts: no ids)."""
+    ship_package(docs.sparkSession)
+    kind = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
+
+    @F.arrow_udf(kind)
+    def digested(texts: pa.Array) -> pa.Array:
+        coder = encoder(path)
+        rows = list(_digests_of(coder.words.texts(t.as_py() or "" for t in texts), coder.tables))
+        return pa.array([{"n_tokens": n, "ids_sha256": i, "decoded_sha256": d} for n, i, d in rows], pa.struct(
+            [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+        ))
+
+    return docs.select(id_col, digested(F.col(text_col).cast("string")).alias("d")).select(id_col, "d.*")
+
+
 def digests(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256."""
     return encoded.select(

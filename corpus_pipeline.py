@@ -62,10 +62,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids and of the text that they decode to."""
-    path = public_tokenizers.path(TOKENIZER)
-    ids = bpe.with_ids(docs.select("doc_id", "text"), path)
-    return bpe.digests(bpe.with_decoded(ids.drop("text"), path))
+    """doc_id, n_tokens and digests of the ids and of the text that they decode to (encoded, decoded and digested in
+    one pass, so a worker holds one token table and no text's ids)."""
+    return bpe.encoded_digests(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [

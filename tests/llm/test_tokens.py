@@ -94,3 +94,11 @@ def test_token_files_without_rows_or_end_ids(spark, no_docs, make_docs):
 def test_a_store_that_is_not_mounted_is_refused():
     with pytest.raises(ValueError):
         token_files.local_path("hdfs://store/x")
+
+
+def test_fused_digests_equal_the_three_steps(spark, odd_docs, sf_dir):
+    docs = odd_docs.select("doc_id", "text").unionByName(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    steps = bpe.digests(bpe.with_decoded(bpe.with_ids(docs, PATH).drop("text"), PATH))
+    fused = bpe.encoded_digests(docs, PATH)
+    assert fused.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(tuple, fused.collect()), key=repr) == sorted(map(tuple, steps.collect()), key=repr)
