@@ -30,8 +30,12 @@ KINDS = ["logreg", "gbm"]
 DEFAULT_CHAMPION = "gbm"
 BOOSTING = {"maxIter": 400, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"}
 LOGISTIC_ITERATIONS = 1000
-#: Folds fitted at the same time from driver threads.
-FIT_THREADS = 2
+#: Folds fitted at the same time from driver threads. Boosting runs thousands of short jobs in a row, whose cost is
+#: mostly their start, so the folds of a run share the executors well.
+FIT_THREADS = FOLDS
+#: Training rows per partition. Every level of every boosted tree is a job over all partitions: small tables in
+#: hundreds of partitions spend their time on starting tasks.
+ROWS_PER_PART = 20_000
 #: How the median fill stage writes a column's fill value; ``linear_terms`` reads the values back from it.
 MEDIAN_FILL = re.compile(r"CAST\('([^']*)' AS DOUBLE\)\) AS `([^`]*)_n`")
 WEIGHT, FEATURES = "row_weight", "features"
@@ -130,15 +134,26 @@ def estimator(kind: str, label: str, n_rows: int, **overrides):
     raise ValueError(f"unknown model kind: {kind!r}")
 
 
+def packed(rows: DataFrame, n: int, per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The same ``n`` rows in at most one partition per ``per_part`` of them, without a shuffle."""
+    return rows.coalesce(max(1, -(-n // per_part)))
+
+
 def fit(
     train: DataFrame, label: str, kind: str, numeric: list[str] = NUMERIC_FEATURES,
     categorical: list[str] = CATEGORICAL_FEATURES, **overrides,
 ) -> PipelineModel:
-    """Fit preprocessing and classifier on the given rows."""
+    """Fit preprocessing and classifier on the given rows.
+
+    The classifier reads assembled vectors that are stored once, in partitions by their number of rows, so that its
+    many jobs neither carry the plan of the cleaning nor start more tasks than the rows need.
+    """
     ensure_checkpoint_dir(train.sparkSession)
-    weighted = with_row_weights(train, label, kind)
-    stages = preprocessing(train, numeric, categorical)
-    return Pipeline(stages=[*stages, estimator(kind, label, train.count(), **overrides)]).fit(weighted)
+    n = train.count()
+    weighted = packed(with_row_weights(train, label, kind), n)
+    prepared = Pipeline(stages=preprocessing(train, numeric, categorical)).fit(weighted)
+    vectors = settled(prepared.transform(weighted).select(FEATURES, label, WEIGHT))
+    return PipelineModel([*prepared.stages, estimator(kind, label, n, **overrides).fit(vectors)])
 
 
 def predict(model: PipelineModel, rows: DataFrame, keep: list[str]) -> DataFrame:
