@@ -78,18 +78,20 @@ def term_matches(sentences: DataFrame, lexicon: DataFrame, keys: list[str], text
     if not lengths:
         return sentences.select(*keys).limit(0).select(*keys, *[F.lit(None).cast(t).alias(c) for c, t in (("start", "int"), ("n", "int"), ("term", "string"), ("kind", "string"))])
     tokens = _tokens(F.coalesce(F.col(text_col), F.lit("")))
-    positions = F.when(F.size("tokens") > 0, F.sequence(F.lit(0), F.size("tokens") - 1)).otherwise(F.array().cast("array<int>"))
-    grams = F.flatten(
-        F.transform(
-            positions,
-            lambda i: F.transform(
-                F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: i + n <= F.size("tokens")),
-                lambda n: F.struct(i.alias("start"), n.alias("n"), F.array_join(F.slice("tokens", i + 1, n), " ").alias("gram")),
-            ),
-        )
-    )
-    candidates = sentences.select(*keys, tokens.alias("tokens")).select(*keys, F.explode(grams).alias("g")).select(*keys, "g.*")
     size = lexicon.agg(F.sum(F.length("gram") + F.length("term") + F.coalesce(F.length("kind"), F.lit(0)) + 16)).first()[0] or 0
+    tokenized = sentences.select(*keys, tokens.alias("tokens"))
+    gram = lambda start, n: F.array_join(F.slice("tokens", start + 1, n), " ")
+    if size <= BROADCAST_BYTES:
+        # only tokens that begin a term become n-grams, of the lengths that terms with this first token have
+        heads = lexicon.select(F.substring_index("gram", " ", 1).alias("head"), "n").distinct()
+        placed = tokenized.select(*keys, "tokens", F.posexplode("tokens").alias("start", "head")).join(F.broadcast(heads), "head")
+        inside = placed.where(F.col("start") + F.col("n") <= F.size("tokens"))
+        candidates = inside.select(*keys, "start", "n", gram(F.col("start"), F.col("n")).alias("gram"))
+    else:
+        positions = F.when(F.size("tokens") > 0, F.sequence(F.lit(0), F.size("tokens") - 1)).otherwise(F.array().cast("array<int>"))
+        fitting = lambda i: F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: i + n <= F.size("tokens"))
+        grams = F.flatten(F.transform(positions, lambda i: F.transform(fitting(i), lambda n: F.struct(i.alias("start"), n.alias("n"), gram(i, n).alias("gram")))))
+        candidates = tokenized.select(*keys, F.explode(grams).alias("g")).select(*keys, "g.*")
     table = F.broadcast(lexicon) if size <= BROADCAST_BYTES else lexicon
     found = candidates.join(table, ["n", "gram"]).select(*keys, F.struct("start", "n", "term", "kind").alias("m"))
     if resolve == "all":
