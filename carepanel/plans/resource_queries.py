@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from carepanel.plans import resource_job
 from carepanel.sources.fixture_views import sql_over, view
 from carepanel.sources import resources as rs_source
 from carepanel.sources.resources import parse_resources, split_corrupt
+from carepanel.sources.schemas import CORRUPT
+from carepanel.sources.scratch import ensure_checkpoint_dir
 
 AS_OF = "2024-04-01"
 
@@ -128,8 +132,13 @@ def failed_records(spark, d):
 
 
 def failed_patients(spark, d):
-    """A25: the patients with a failed record, and their good condition records set aside with them."""
-    resources = _json(spark, d, CONDITION_JSON, "Condition")
+    """A25: the patients with a failed record, and their good condition records set aside with them.
+
+    The documents are made and parsed once; what the steps read of them is stored for the four passes that follow."""
+    parsed = _json(spark, d, CONDITION_JSON, "Condition").select(CORRUPT, "resourceType", "subject")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/intake-{uuid.uuid4().hex}"
+    parsed.write.parquet(path)
+    resources = spark.read.schema(parsed.schema).parquet(path)
     failed = rs_source.failed_records(resources, "Condition")
     good = rs_source.only_kind(resources, "Condition")
     subject = F.col("subject.reference")

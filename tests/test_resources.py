@@ -218,3 +218,10 @@ def test_feed_numbers_follow_file_names_and_lines_whatever_the_split(spark, tmp_
         feeds = sorted(r.feed for r in numbered_lines(spark, str(folder)).collect())
         assert feeds == sorted(set(feeds))
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_failed_patients_make_and_parse_their_documents_once(spark, sf_dir):
+    from carepanel.plans.resource_queries import failed_patients
+
+    plan = failed_patients(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "o_custkey" not in plan
