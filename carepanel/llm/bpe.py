@@ -15,11 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from carepanel.llm.shared import ship_package
-from carepanel.llm.words import WordTokens
-
-#: The pre-tokenizer's pattern for words of ASCII characters only.
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-PRINTABLE = re.compile(r"[!-~]+")
+from carepanel.llm.words import CUT_PROBE, PIECES, PLAIN, WordTokens, byte_level
 
 
 class MergeTables:
@@ -107,43 +103,53 @@ class MergeTables:
 
 
 class Encoder:
-    """Words to ids. Normalising and cutting into pieces follow the tokenizer file, the merging is ``MergeTables.merge``."""
+    """Words to ids. Normalising and cutting into pieces follow the tokenizer file, the merging is ``MergeTables.merge``.
+
+    A piece that an earlier word had is not merged again (the table of pieces is cleared as that of words is).
+    """
 
     def __init__(self, path: str):
         self.tables = MergeTables(path)
         self.rules = Tokenizer.from_file(path)
         self.words = WordTokens(self.tokenize)
+        self.pieces = WordTokens(self._merged)  # a piece is byte-level text, or the id of an added token
+        told = [p for p, _ in self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(CUT_PROBE))]
+        self.cut_known = told == [byte_level(p) for w in CUT_PROBE.split() for p in PIECES.findall(w.lower())]
 
     def _pieces(self, word: str) -> list[str]:
-        if PRINTABLE.fullmatch(word):
-            return ASCII_PIECES.findall(word.lower())
         text = self.rules.normalizer.normalize_str(word)
         return [piece for piece, _ in self.rules.pre_tokenizer.pre_tokenize_str(text)]
 
-    def tokenize(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        tables, pieces, owner = self.tables, [], []  # a piece is byte-level text, or the id of an added token
-        for n, word in enumerate(words):
-            parts = tables.added_pattern.split(word) if tables.added_pattern and "<" in word else [word]
-            for part in filter(None, parts):
-                found = [tables.added[part]] if part in tables.added else self._pieces(part)
-                pieces += found
-                owner += [n] * len(found)
-        distinct = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
+    def _parts(self, word: str) -> list[str | int]:
+        added, out = self.tables.added, []
+        for part in filter(None, self.tables.added_pattern.split(word) if self.tables.added_pattern else [word]):
+            out += [added[part]] if part in added else self._pieces(part)
+        return out
+
+    def _merged(self, pieces: list[str | int]) -> tuple[np.ndarray, np.ndarray]:
+        vocab, suffix = self.tables.vocab, self.tables.suffix
         symbols: list[int] = []
-        lengths = np.zeros(len(distinct), np.int64)
-        vocab, suffix = tables.vocab, tables.suffix
-        for piece, n in distinct.items():
-            new = [piece] if isinstance(piece, int) else [*(vocab[c] for c in piece[:-1]), vocab[piece[-1] + suffix]]
+        lengths = np.zeros(len(pieces), np.int64)
+        for n, piece in enumerate(pieces):
+            new = [piece] if isinstance(piece, int) else [*map(vocab.__getitem__, piece[:-1]), vocab[piece[-1] + suffix]]
             symbols += new
             lengths[n] = len(new)
-        ids, lengths = tables.merge(np.array(symbols, np.int64), lengths)
-        number = np.fromiter((distinct[p] for p in pieces), np.int64, len(pieces))
-        ends = np.r_[0, np.cumsum(lengths)]
-        length = lengths[number]
-        done = np.r_[0, np.cumsum(length)]
-        where = np.arange(done[-1]) + np.repeat(ends[number] - done[:-1], length)
-        per_word = np.bincount(np.array(owner, np.int64), weights=length, minlength=len(words)).astype(np.int64)
-        return ids[where], per_word
+        return self.tables.merge(np.array(symbols, np.int64), lengths)
+
+    def tokenize(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces: list[str | int] = []
+        ends = []
+        plain, cut = PLAIN.fullmatch if self.cut_known else lambda word: None, PIECES.findall
+        for word in words:
+            if "<" in word or not plain(word):
+                pieces += self._parts(word)
+            elif word.isascii():
+                pieces += cut(word.lower())
+            else:
+                pieces += map(byte_level, cut(word.lower()))
+            ends.append(len(pieces))
+        sizes = np.diff(np.array(ends, np.int64), prepend=0)
+        return self.pieces.ids(pieces, sizes)
 
 
 @cache

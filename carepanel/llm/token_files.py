@@ -26,11 +26,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from carepanel.llm.shared import shared_folder, ship_package
-from carepanel.llm.words import WordTokens
+from carepanel.llm.words import CUT_PROBE, PIECES, PLAIN, WordTokens, byte_level
 
-#: The pre-tokenizer's pattern for lower-case words of printable ASCII and Latin-1 letters.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
-PLAIN = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 MOST_WORDS, MOST_PIECES = 700_000, 600_000
 NULL_ID = np.iinfo(np.int64).min  # stands for a missing document id, and sorts first as nulls do
 
@@ -42,15 +39,8 @@ class LibraryWords:
         self.tokenizer = Tokenizer.from_file(path)
         self.words = WordTokens(self.tokenize, MOST_WORDS)
         self.pieces: dict[str, list[int]] = {}
-        # bytes as the byte-level rule writes them: visible ones as they are, the others from 256 on
-        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.byte_chars = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in seen)}
-        probe = "It's we'll x9!? 12-a Stra\xdfe \xc9T\xc9"
-        told = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(probe))]
-        self.cut_known = told == [self._byte_level(p) for w in probe.split() for p in PIECES.findall(w.lower())]
-
-    def _byte_level(self, piece: str) -> str:
-        return piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_chars)
+        told = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(CUT_PROBE))]
+        self.cut_known = told == [byte_level(p) for w in CUT_PROBE.split() for p in PIECES.findall(w.lower())]
 
     def _ids(self, word: str) -> list[int]:
         if "<|" in word or not self.cut_known or not PLAIN.fullmatch(word):
@@ -58,7 +48,7 @@ class LibraryWords:
         ids: list[int] = []
         for piece in PIECES.findall(word.lower()):
             if (known := self.pieces.get(piece)) is None:
-                known = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(self._byte_level(piece))]
+                known = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(byte_level(piece))]
             ids += known
         return ids
 

@@ -7,7 +7,8 @@ the ids of its words in order.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 
@@ -16,10 +17,22 @@ from carepanel.llm.shared import hold_table
 #: What Python takes for white space beyond the property White_Space.
 NOT_WHITE = re.compile("[\x1c-\x1f]")
 SPLIT = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: The pattern of word-piece pre-tokenizers for lower-case words of printable ASCII and Latin-1 letters.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
+PLAIN = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: Words that tell whether a tokenizer file cuts plain words as ``PIECES`` does.
+CUT_PROBE = "It's we'll x9!? 12-a Stra\xdfe \xc9T\xc9"
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+#: Bytes as the byte-level rule writes them: visible ones as they are, the others from 256 on.
+_BYTE_CHARS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 PIECE_CHARS = 1 << 20
 MOST_WORDS = 250_000
 
 
+def byte_level(piece: str) -> str:
+    return piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+
+
 def split_words(text: str) -> list[str]:
     return [w for w in SPLIT.split(text) if w] if NOT_WHITE.search(text) else text.split()
 
@@ -72,10 +85,13 @@ class WordTokens:
 
     def _ids(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of some word lists, flat, and how many each list has."""
+        return self.ids(chain.from_iterable(words), np.fromiter(map(len, words), np.int64, len(words)))
+
+    def ids(self, words: Iterable[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for lists that lie one after the other, with their sizes."""
         if len(self.numbers) > self.most_words:
             self._clear()
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        number = np.fromiter((self.numbers[w] for each in words for w in each), np.int64, int(sizes.sum()))
+        number = np.fromiter(map(self.numbers.__getitem__, words), np.int64, int(sizes.sum()))
         if self.numbers.fresh:
             self._learn()
         start = self.ends[number]
