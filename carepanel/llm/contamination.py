@@ -27,6 +27,9 @@ UNITS = frozenset(
 )
 
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?\n]|[0-9]+(?:[.,][0-9]+)*|[%$€]")
+#: The same for texts of Latin-1 characters, whose letters are listed: several times as fast as the class of all letters.
+LATIN = "".join(c for c in map(chr, range(256)) if re.match(r"[^\W\d_]", c))
+LATIN_TOKEN = re.compile(TOKEN.pattern.replace(r"[^\W\d_]", f"[{LATIN}]"))
 ENDERS = frozenset(".!?\n")
 LITERAL, NUMBER, NAME, UNIT, ENDER = range(5)
 MARKED = dict.fromkeys(UNITS | {"%", "$", "\u20ac"}, UNIT) | dict.fromkeys(ENDERS, ENDER)
@@ -39,36 +42,47 @@ _HIT = "array<struct<h:long,pos:int,rank:int,slots:array<string>>>"
 PLACEHOLDERS = np.array([0, *map(xxhash.xxh64_intdigest, ("<num>", "<name>", "<unit>"))], np.uint64)
 
 
+def tokens_of(text: str) -> list[str]:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return TOKEN.findall(text)
+    return LATIN_TOKEN.findall(text)
+
+
 class TokenTable(dict):
     """Token -> its number, with each number's kind and hash; cleared when it holds MOST_TOKENS."""
 
     def __init__(self):
         super().__init__()
-        self.fresh: list[tuple[int, int]] = []
+        self.fresh: tuple[list[int], list[str]] = [], []
         self.kind_of, self.hash_of = np.zeros(1 << 16, np.int8), np.zeros(1 << 16, np.uint64)
 
     def __missing__(self, token: str) -> int:
         lowered = token.lower()
-        if lowered in MARKED:
-            kind = MARKED[lowered]
-        elif lowered == token:
-            kind = NUMBER if token[0].isdigit() else LITERAL
-        else:
-            kind = NAME if token[0].isupper() and not token.isupper() else LITERAL
+        kind = MARKED.get(lowered)
+        if kind is None:
+            if lowered == token:
+                kind = NUMBER if token[0].isdigit() else LITERAL
+            else:
+                kind = NAME if token[0].isupper() and not token.isupper() else LITERAL
         self[token] = number = len(self)
-        self.fresh.append((kind, xxhash.xxh64_intdigest(lowered)))
+        self.fresh[0].append(kind)
+        self.fresh[1].append(lowered)
         return number
 
     def look_up(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self) > MOST_TOKENS:
             self.clear()
         at = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
-        if self.fresh:
+        kinds, lowered = self.fresh
+        if kinds:
             while len(self.kind_of) < len(self):
                 self.kind_of, self.hash_of = (np.r_[x, np.zeros_like(x)] for x in (self.kind_of, self.hash_of))
-            new = slice(len(self) - len(self.fresh), len(self))
-            self.kind_of[new], self.hash_of[new] = zip(*self.fresh, strict=True)
-            self.fresh = []
+            new = slice(len(self) - len(kinds), len(self))
+            self.kind_of[new] = kinds
+            self.hash_of[new] = np.fromiter(map(xxhash.xxh64_intdigest, lowered), np.uint64, len(lowered))
+            self.fresh = [], []
         return self.kind_of[at], self.hash_of[at]
 
 
@@ -85,7 +99,7 @@ class Windows:
     """
 
     def __init__(self, texts: list[str], size: int, literals: int, loose: bool):
-        found = [TOKEN.findall(t) for t in texts]
+        found = [tokens_of(t) for t in texts]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         self.size, self.tokens = size, list(chain.from_iterable(found))
         text = np.repeat(np.arange(len(found)), lengths)
@@ -122,8 +136,10 @@ class Windows:
             while mask:
                 masks.add(mask)
                 mask = (mask - 1) & flags
+        named = np.flatnonzero(self.flags)  # few windows hold a name
+        flags, places = self.flags[named], self.telling[named]
         for mask in sorted(masks):
-            at = self.telling[(self.flags & mask) == mask]
+            at = places[(flags & mask) == mask] if mask else self.telling
             yield at, self._hash(at, [PLACEHOLDERS[NAME] if mask >> k & 1 else codes[at + k] for k in range(self.size)])
 
     def whole(self, width: int, entire: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -169,14 +185,14 @@ def _windows(table: DataFrame, text_col: str, size: int, literals: int, bitmap:
     @F.arrow_udf(_HIT)
     def windows(texts: pa.Array) -> pa.Array:
         out = []
+        marked = None if bitmap is None else np.unpackbits(bitmap.astype("<u8").view(np.uint8), bitorder="little").view(bool)
         for group in _groups(texts):
             found = Windows(group, size, literals, bitmap is not None)
             hits = [[] for _ in group]
             rank = dict(zip(found.telling.tolist(), (np.arange(len(found.telling)) - np.searchsorted(found.text[found.telling], found.text[found.telling])).tolist(), strict=True)) if bitmap is None else {}
             for at, hashes in chain(found.readings(), (found.whole(w, bitmap is None) for w in widths)):
                 if bitmap is not None and len(at):
-                    slot = hashes & np.uint64((1 << BITMAP_BITS) - 1)
-                    passed = (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+                    passed = marked[hashes.view(np.int64) & ((1 << BITMAP_BITS) - 1)]
                     at, hashes = at[passed], hashes[passed]
                 for i, h, text, pos in zip(at.tolist(), hashes.view(np.int64).tolist(), found.text[at].tolist(), found.position[at].tolist(), strict=True):
                     hits[text].append({"h": h, "pos": pos, "rank": rank.get(i, 0), "slots": found.slots(i)})
