@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -34,7 +35,8 @@ ENDERS = frozenset(".!?\n")
 LITERAL, NUMBER, NAME, UNIT, ENDER = range(5)
 MARKED = dict.fromkeys(UNITS | {"%", "$", "\u20ac"}, UNIT) | dict.fromkeys(ENDERS, ENDER)
 BITMAP_BITS = 23
-MOST_TOKENS = 250_000
+#: Characters cut at a time (more where no space follows), so that what is held per character stays small.
+CUT_CHARS = 1 << 17
 START = "^"  # marks a slot that starts a sentence
 _HIT = "array<struct<h:long,pos:int,rank:int,slots:array<string>>>"
 
@@ -43,6 +45,7 @@ PLACEHOLDERS = np.array([0, *map(xxhash.xxh64_intdigest, ("<num>", "<name>", "<u
 
 
 def tokens_of(text: str) -> list[str]:
+    """The tokens of a text, as ``Cutter`` finds them without making them."""
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
@@ -50,43 +53,134 @@ def tokens_of(text: str) -> list[str]:
     return LATIN_TOKEN.findall(text)
 
 
-class TokenTable(dict):
-    """Token -> its number, with each number's kind and hash; cleared when it holds MOST_TOKENS."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+class Cutter:
+    """Where the tokens of ``TOKEN`` lie in a text, their kinds, and hashes of them in lower case, without a string for any.
+
+    Classes, case and hash value of a character are listed by code point, in blocks of 256 as the texts need them. A
+    token's hash is the sum of its characters' values times powers of an odd number, from running sums.
+    """
+
+    OTHER, LETTER, DIGIT, SINGLE = range(4)
+    CHANGES, UPPER, SMALL, DIGIT_LIKE = 1, 2, 4, 8
+    #: Characters whose lower case takes two characters or depends on their neighbours.
+    UNEVEN = (0x130, 0x3A3)
+    BASE = 0x9E3779B97F4A7C15
 
     def __init__(self):
-        super().__init__()
-        self.fresh: tuple[list[int], list[str]] = [], []
-        self.kind_of, self.hash_of = np.zeros(1 << 16, np.int8), np.zeros(1 << 16, np.uint64)
-
-    def __missing__(self, token: str) -> int:
-        lowered = token.lower()
-        kind = MARKED.get(lowered)
-        if kind is None:
-            if lowered == token:
-                kind = NUMBER if token[0].isdigit() else LITERAL
-            else:
-                kind = NAME if token[0].isupper() and not token.isupper() else LITERAL
-        self[token] = number = len(self)
-        self.fresh[0].append(kind)
-        self.fresh[1].append(lowered)
-        return number
-
-    def look_up(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self) > MOST_TOKENS:
-            self.clear()
-        at = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
-        kinds, lowered = self.fresh
-        if kinds:
-            while len(self.kind_of) < len(self):
-                self.kind_of, self.hash_of = (np.r_[x, np.zeros_like(x)] for x in (self.kind_of, self.hash_of))
-            new = slice(len(self) - len(kinds), len(self))
-            self.kind_of[new] = kinds
-            self.hash_of[new] = np.fromiter(map(xxhash.xxh64_intdigest, lowered), np.uint64, len(lowered))
-            self.fresh = [], []
-        return self.kind_of[at], self.hash_of[at]
-
-
-_TABLE = TokenTable()
+        points = 0x110000
+        self.classes, self.cases, self.values = np.zeros(points, np.uint8), np.zeros(points, np.uint8), np.zeros(points, np.uint64)
+        self.listed = np.zeros(points >> 8, bool)
+        self.powers = self.inverses = np.zeros(0, np.uint64)
+        self._list([0])
+        self.latin_classes, self.latin_cases = self.classes[:256].tobytes(), self.cases[:256].tobytes()
+        marked = sorted(MARKED)
+        hashes = self._hash_strings(marked)
+        order = np.argsort(hashes)
+        self.marked, self.mark = hashes[order], np.array([MARKED[m] for m in marked], np.int8)[order]
+        self.maybe_marked = np.zeros(1 << 16, bool)
+        self.maybe_marked[(hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+    def _list(self, blocks: list[int]) -> None:
+        for block in blocks:
+            for code in range(block << 8, (block + 1) << 8):
+                c = chr(code)
+                lowered = c.lower()
+                if c.isalnum() and not c.isdecimal():
+                    self.classes[code] = self.LETTER
+                elif "0" <= c <= "9":
+                    self.classes[code] = self.DIGIT
+                elif c in MARKED:
+                    self.classes[code] = self.SINGLE
+                self.values[code] = ord(lowered) + 1 if len(lowered) == 1 else code + 1
+                if self.classes[code]:
+                    self.cases[code] = self.CHANGES * (lowered != c) | self.UPPER * c.isupper() | self.SMALL * (c.islower() or c.istitle() and not c.isupper()) | self.DIGIT_LIKE * c.isdigit()
+            part = slice(block << 8, (block + 1) << 8)
+            self.values[part] = _mixed(_mixed(self.values[part] * np.uint64(self.BASE)))
+            self.listed[block] = True
+
+    def _hashes(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = len(points)
+        if n > len(self.powers):
+            size = max(n, CUT_CHARS + (CUT_CHARS >> 3))
+            self.powers, self.inverses = (np.cumprod(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)]) for b in (self.BASE, pow(self.BASE, -1, 1 << 64)))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.values[points] * self.powers[:n], out=sums[1:])
+        found = (sums[ends] - sums[starts]) * self.inverses[starts]
+        if n > CUT_CHARS * 8:  # a text without a space
+            self.powers = self.inverses = np.zeros(0, np.uint64)
+        return _mixed(found + (ends - starts).astype(np.uint64))
+
+    def _hash_strings(self, strings: list[str]) -> np.ndarray:
+        points = np.frombuffer("".join(strings).encode("utf-32-le"), "<u4")
+        self._list_new(points)
+        ends = np.cumsum(list(map(len, strings)))
+        return self._hashes(points, np.r_[0, ends[:-1]], ends)
+
+    def _list_new(self, points: np.ndarray) -> None:
+        blocks = np.unique(points >> 8)
+        self._list(blocks[~self.listed[blocks]].tolist())
+
+    def cut(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends, kinds (of units and literals by themselves) and hashes of the tokens of a text that begins and ends with a space."""
+        try:
+            raw = text.encode("latin-1")
+            points = np.frombuffer(raw, np.uint8)
+            classes, cases = np.frombuffer(bytearray(raw.translate(self.latin_classes)), np.uint8), np.frombuffer(raw.translate(self.latin_cases), np.uint8)
+            uneven = None
+        except UnicodeEncodeError:
+            points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            self._list_new(points)
+            classes, cases = self.classes[points], self.cases[points]
+            uneven = np.flatnonzero((points == self.UNEVEN[0]) | (points == self.UNEVEN[1]))
+        at = np.flatnonzero((points == ord(".")) | (points == ord(",")))
+        at = at[(classes[at - 1] == self.DIGIT) & (classes[at + 1] == self.DIGIT)]
+        classes[at] = self.DIGIT
+        at = np.flatnonzero(points == ord("'"))
+        at = at[(classes[at - 1] == self.LETTER) & (classes[at + 1] == self.LETTER)]
+        if len(at) > 1:  # of apostrophes with only letters between them every second one joins
+            follows = np.r_[False, np.add.reduceat(classes != self.LETTER, at, dtype=np.int64)[:-1] == 1]
+            nth = np.arange(len(at))
+            at = at[(nth - np.maximum.accumulate(np.where(follows, 0, nth))) % 2 == 0]
+        classes[at] = self.LETTER
+        change, inside, alone = classes[1:] != classes[:-1], classes != self.OTHER, classes == self.SINGLE
+        starts = np.flatnonzero((change | alone[1:]) & inside[1:]) + 1
+        ends = np.flatnonzero((change | alone[:-1]) & inside[:-1]) + 1
+        if not len(starts):
+            return starts, ends, np.zeros(0, np.int8), np.zeros(0, np.uint64)
+        hashes = self._hashes(points, starts, ends)
+        if uneven is not None and len(uneven):
+            which = np.unique(np.searchsorted(starts, uneven, "right") - 1)
+            hashes[which] = self._hash_strings([text[s:e].lower() for s, e in zip(starts[which].tolist(), ends[which].tolist(), strict=True)])
+        first, case = cases[starts], np.bitwise_or.reduceat(cases, starts)
+        changes = case & self.CHANGES != 0
+        kinds = np.where(~changes & (first & self.DIGIT_LIKE != 0), np.int8(NUMBER), np.int8(LITERAL))
+        kinds[changes & (first & self.UPPER != 0) & (case & self.SMALL != 0)] = NAME
+        maybe = np.flatnonzero(self.maybe_marked[(hashes & np.uint64(0xFFFF)).view(np.int64)])
+        place = np.minimum(np.searchsorted(self.marked, hashes[maybe]), len(self.marked) - 1)
+        known = self.marked[place] == hashes[maybe]
+        kinds[maybe[known]] = self.mark[place[known]]
+        return starts, ends, kinds, hashes
+
+    def cut_long(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same in parts that begin and end with a space."""
+        parts, at = [], 0
+        while True:
+            end = text.find(" ", at + CUT_CHARS, -1)
+            starts, ends, kinds, hashes = self.cut(text[at : end + 1 if end >= 0 else len(text)])
+            parts.append((starts + at, ends + at, kinds, hashes))
+            if end < 0:
+                return tuple(map(np.concatenate, zip(*parts, strict=True)))
+            at = end
+
+
+@cache
+def cutter() -> Cutter:
+    return Cutter()
 
 
 class Windows:
@@ -99,24 +193,24 @@ class Windows:
     """
 
     def __init__(self, texts: list[str], size: int, literals: int, loose: bool):
-        found = [tokens_of(t) for t in texts]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.size, self.tokens = size, list(chain.from_iterable(found))
-        text = np.repeat(np.arange(len(found)), lengths)
-        hold_table("templates", _TABLE.clear)
-        kinds, hashes = _TABLE.look_up(self.tokens)
+        hold_table("templates", lambda: None)
+        self.size, self.joined = size, " ".join(["", *texts, ""])
+        starts, ends, kinds, hashes = cutter().cut_long(self.joined)
+        begins = np.searchsorted(starts, np.cumsum([1, *(len(t) + 1 for t in texts)]))
+        text = np.repeat(np.arange(len(texts)), np.diff(begins))
         before = np.r_[ENDER, kinds[:-1]][: len(kinds)]
         before[np.r_[True, text[1:] != text[:-1]][: len(text)]] = ENDER
         after = np.r_[kinds[1:], ENDER][: len(kinds)]
         after[np.r_[text[1:] != text[:-1], True][: len(text)]] = ENDER
         kinds = np.where((kinds == UNIT) & (before != NUMBER), LITERAL, kinds)
-        self.words = np.flatnonzero(kinds != ENDER)
-        self.opens, self.closes = before[self.words] == ENDER, after[self.words] == ENDER
-        self.kinds, self.text, self.hashes = kinds[self.words], text[self.words], hashes[self.words]
-        first = np.searchsorted(self.text, np.arange(len(found) + 1))
+        words = np.flatnonzero(kinds != ENDER)
+        self.opens, self.closes = before[words] == ENDER, after[words] == ENDER
+        self.kinds, self.text, self.hashes = kinds[words], text[words], hashes[words]
+        self.starts, self.ends = starts[words], ends[words]
+        first = np.searchsorted(self.text, np.arange(len(texts) + 1))
         self.length = np.diff(first)
         self.position = np.arange(len(self.text)) - first[self.text]
-        count = max(0, len(self.words) - size + 1)
+        count = max(0, len(self.kinds) - size + 1)
         name = self.kinds == NAME
         literal = ((self.kinds == LITERAL) | (name if loose else name & self.opens)).astype(np.int64)
         plain, flags = np.zeros(count, np.int64), np.zeros(count, np.int64)
@@ -144,7 +238,7 @@ class Windows:
 
     def whole(self, width: int, entire: bool) -> tuple[np.ndarray, np.ndarray]:
         """Places and hashes of strings of ``width`` words between sentence ends (``entire``: that are a whole text)."""
-        at = np.flatnonzero(self.opens[: max(0, len(self.words) - width + 1)])
+        at = np.flatnonzero(self.opens[: max(0, len(self.kinds) - width + 1)])
         at = at[self.closes[at + width - 1] & (self.text[at] == self.text[at + width - 1])]
         if entire:
             at = at[self.length[self.text[at]] == width]
@@ -162,7 +256,7 @@ class Windows:
     def slots(self, at: int) -> list[str]:
         """What the placeholders of a window stand for, empty for other words."""
         mark = lambda i: START if self.kinds[i] == NAME and self.opens[i] else ""
-        return ["" if self.kinds[i] == LITERAL else mark(i) + self.tokens[self.words[i]].lower() for i in range(at, min(at + self.size, len(self.words)))]
+        return ["" if self.kinds[i] == LITERAL else mark(i) + self.joined[self.starts[i] : self.ends[i]].lower() for i in range(at, min(at + self.size, len(self.kinds)))]
 
 
 def _groups(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
@@ -199,7 +293,8 @@ def _windows(table: DataFrame, text_col: str, size: int, literals: int, bitmap:
             out += hits
         return pa.array(out, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("rank", pa.int32()), ("slots", pa.list_(pa.string()))])))
 
-    return table.withColumn(into, windows(F.col(text_col)))
+    # not to be run once more by a filter on what it returns
+    return table.withColumn(into, windows.asNondeterministic()(F.col(text_col)))
 
 
 def window_bitmap(windows: DataFrame) -> np.ndarray:
@@ -325,7 +420,7 @@ def find_contamination(
         out = (best_alignment(h.as_py(), n.as_py(), w.as_py()) for h, n, w in zip(hits, n_windows, width, strict=True))
         return pa.array([{"share": share, "run": run} for share, run in out], found)
 
-    judged = aligned.select("key", "item_id", "item_key", judge("hits", "n_windows", "width").alias("j")).select("key", "item_id", "item_key", "j.share", "j.run")
+    judged = aligned.select("key", "item_id", "item_key", judge.asNondeterministic()("hits", "n_windows", "width").alias("j")).select("key", "item_id", "item_key", "j.share", "j.run")
     leaks = judged.where((F.col("share") >= least_share) | (F.col("run") >= least_run))
     return leaks.groupBy("key", "item_id", "item_key").agg(F.max("share").alias("share"), F.max("run").alias("run"))
 
