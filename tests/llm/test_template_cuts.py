@@ -42,3 +42,11 @@ def test_a_text_is_read_once_whatever_is_asked_of_its_windows(spark):
     items = docs.select(docs.doc_id.alias("item_id"), "text")
     plan = contamination.find_contamination(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 2  # the windows and the verdict
+
+
+def test_a_worker_keeps_no_table_of_the_tokens_it_has_met():
+    cleared = []
+    contamination.hold_table("another operator", lambda: cleared.append(1))
+    contamination.Windows(["some words of a text", "and of another"], 5, 2, True)
+    assert cleared == [1]
+    assert not any(isinstance(v, dict) for v in vars(contamination.cutter()).values())
