@@ -17,10 +17,10 @@ from pyspark.sql.window import Window
 
 from carepanel.functions.numeric import rounded
 from carepanel.functions.quantiles import exact_quantiles
-from carepanel.operators import curves
+from carepanel.operators import boosting, curves
 from carepanel.operators.drivers import LinearTerm
 from carepanel.operators.encounter_features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from carepanel.sources.scratch import ensure_checkpoint_dir, settled
+from carepanel.sources.scratch import ensure_checkpoint_dir, settled, settled_columns
 
 # Run parameters.
 SEED = 42
@@ -139,6 +139,16 @@ def packed(rows: DataFrame, n: int, per_part: int = ROWS_PER_PART) -> DataFrame:
     return rows.coalesce(max(1, -(-n // per_part)))
 
 
+def fit_preprocessing(
+    train: DataFrame, label: str, kind: str, numeric: list[str] = NUMERIC_FEATURES, categorical: list[str] = CATEGORICAL_FEATURES
+) -> tuple[PipelineModel, DataFrame, int]:
+    """The fitted stages before the classifier, the weighted rows in partitions by their number, and that number."""
+    ensure_checkpoint_dir(train.sparkSession)
+    n = train.count()
+    weighted = packed(with_row_weights(train, label, kind), n)
+    return Pipeline(stages=preprocessing(train, numeric, categorical)).fit(weighted), weighted, n
+
+
 def fit(
     train: DataFrame, label: str, kind: str, numeric: list[str] = NUMERIC_FEATURES,
     categorical: list[str] = CATEGORICAL_FEATURES, **overrides,
@@ -148,14 +158,37 @@ def fit(
     The classifier reads assembled vectors that are stored once, in partitions by their number of rows, so that its
     many jobs neither carry the plan of the cleaning nor start more tasks than the rows need.
     """
-    ensure_checkpoint_dir(train.sparkSession)
-    n = train.count()
-    weighted = packed(with_row_weights(train, label, kind), n)
-    prepared = Pipeline(stages=preprocessing(train, numeric, categorical)).fit(weighted)
+    prepared, weighted, n = fit_preprocessing(train, label, kind, numeric, categorical)
     vectors = settled(prepared.transform(weighted).select(FEATURES, label, WEIGHT))
     return PipelineModel([*prepared.stages, estimator(kind, label, n, **overrides).fit(vectors)])
 
 
+def fit_boosted(
+    trains: list[DataFrame], label: str, numeric: list[str] = NUMERIC_FEATURES, categorical: list[str] = CATEGORICAL_FEATURES,
+    side_by_side: int = FIT_THREADS, **overrides,
+) -> list[PipelineModel]:
+    """As ``fit`` of kind gbm for each of ``trains``: preprocessing is fitted for each on its own rows, the trees of all
+    are grown in lockstep (``boosting``)."""
+    with ThreadPoolExecutor(max(1, side_by_side)) as pool:
+        prepared = list(pool.map(lambda train: fit_preprocessing(train, label, "gbm", numeric, categorical), trains))
+
+    def inputs(k: int) -> DataFrame:
+        stages, weighted, _ = prepared[k]
+        rows = stages.transform(weighted).withColumn("scaled", vector_to_array("numbers_scaled"))
+        numbers = [F.col("scaled")[i].alias(f"x{i}") for i in range(len(numeric))]
+        places = [F.col(f"{c}_i").cast("int").alias(f"c{i}") for i, c in enumerate(categorical)]
+        return rows.select(F.lit(k).alias("of"), *numbers, *places, label, WEIGHT)
+
+    levels = {k: [len(found) for found in stages.stages[4].labelsArray] for k, (stages, _, _) in enumerate(prepared)}
+    specs = {k: estimator("gbm", label, n, **overrides) for k, (_, _, n) in enumerate(prepared)}
+    table = settled_columns(reduce(DataFrame.unionByName, [inputs(k) for k in range(len(trains))]))
+    boosted = boosting.fit_side_by_side(table, len(numeric), levels, specs, specs[0].getMaxBins())
+    return [
+        PipelineModel([*stages.stages, boosted[k]]) if k in boosted else fit(trains[k], label, "gbm", numeric, categorical, **overrides)
+        for k, (stages, _, _) in enumerate(prepared)
+    ]
+
+
 def predict(model: PipelineModel, rows: DataFrame, keep: list[str]) -> DataFrame:
     scored = model.transform(rows.withColumn(WEIGHT, F.lit(1.0)))
     return scored.select(*keep, vector_to_array("probability")[1].alias("probability"))
@@ -186,18 +219,21 @@ def out_of_fold(
     The folded rows are stored once; the folds' models are fitted side by side from a bounded pool of driver threads
     (at most ``side_by_side`` Spark jobs at a time), each on its training rows of the one stored table.
     """
-    folded = settled(with_folds(features, id_col, label, folds))
+    folded = settled_columns(with_folds(features, id_col, label, folds))
     sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
+    trains = [folded.where(F.col("fold") != k) for k in range(folds)]
+    if kind == "gbm" and boosting.fits_here(estimator(kind, label, total, **overrides)):
+        models = fit_boosted(trains, label, side_by_side=side_by_side, **overrides)
+    else:
+        with ThreadPoolExecutor(max(1, side_by_side)) as pool:
+            models = list(pool.map(lambda train: fit(train, label, kind, **overrides), trains))
 
     def scored_fold(k: int) -> DataFrame:
-        model = fit(folded.where(F.col("fold") != k), label, kind, **overrides)
-        rows = predict(model, folded.where(F.col("fold") == k), [id_col, label, "fold", *keep])
+        rows = predict(models[k], folded.where(F.col("fold") == k), [id_col, label, "fold", *keep])
         return rows.withColumn("n_train", F.lit(total - sizes.get(k, 0)).cast("long"))
 
-    with ThreadPoolExecutor(max(1, side_by_side)) as pool:
-        scored = list(pool.map(scored_fold, range(folds)))
-    return reduce(DataFrame.unionByName, scored)
+    return reduce(DataFrame.unionByName, [scored_fold(k) for k in range(folds)])
 
 
 def linear_terms(model: PipelineModel, train: DataFrame, numeric: list[str] = NUMERIC_FEATURES) -> list[LinearTerm]:
