@@ -133,7 +133,8 @@ class Node:
 class Rows:
     """All sets' binned rows with their margins after the rounds so far: a stored RDD that each round replaces.
 
-    Margins are checkpointed every ``CHECKPOINT_ROUNDS`` rounds, so a lost executor costs that many rounds at most.
+    Margins are checkpointed every ``CHECKPOINT_ROUNDS`` rounds, so a lost executor costs that many rounds at most. The
+    pickled bytes are held as they are: a serialized copy would be read through Java's object streams at every level.
     """
 
     def __init__(self, rows: RDD):
@@ -141,7 +142,7 @@ class Rows:
         self._keep(rows)
 
     def _keep(self, rows: RDD) -> None:
-        self.rows, self.before = rows.persist(StorageLevel.MEMORY_AND_DISK), getattr(self, "rows", None)
+        self.rows, self.before = rows.persist(StorageLevel.MEMORY_AND_DISK_DESER), getattr(self, "rows", None)
         if self.turn % CHECKPOINT_ROUNDS == 0:
             self.rows.checkpoint()
 
